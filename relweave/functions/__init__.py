@@ -7,12 +7,15 @@ from relweave.functions.values import (
     clean_int,
     clean_number,
     clean_string,
+    clock_of,
     dict_text_to_json,
+    flag_of,
     parse_flag_dict,
     parse_flag_struct,
     parse_hours,
     slugify,
     split_list,
+    text_to,
 )
 
 __all__ = [
@@ -20,9 +23,11 @@ __all__ = [
     "clean_int",
     "clean_number",
     "clean_string",
+    "clock_of",
     "content_key",
     "day_text",
     "dict_text_to_json",
+    "flag_of",
     "parse_date",
     "parse_flag_dict",
     "parse_flag_struct",
@@ -30,4 +35,5 @@ __all__ = [
     "parse_timestamp",
     "slugify",
     "split_list",
+    "text_to",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from relweave.functions import content_key
 from relweave.gallery import shapes as S
 from relweave.gallery.registry import Tables, query
-from relweave.gallery.shapes import RACE, foreign_key_sql, hourly_sql, key_sql, money_sql, shape_sql, text
+from relweave.gallery.shapes import RACE, foreign_key_sql, hourly_sql, hourly_words_sql, key_sql, money_sql, shape_sql, text
 from relweave.gallery.values import CATEGORIES_SQL
 from relweave.operators import aggregate as A
 from relweave.operators import dimension as D
@@ -196,14 +196,14 @@ def unpivot_columns(t: Tables) -> DataFrame:
 
 DAILY_MEAN_SQL = " UNION ALL ".join(
     f"SELECT substring(datetime, 1, 10) AS date, '{s}' AS city, {money_sql(s)} / nullif(count({s}), 0) AS avg_temperature "
-    f"FROM ({hourly_sql('value')}) GROUP BY 1"
+    f"FROM ({hourly_sql()}) GROUP BY 1"
     for s in S.SERIES
 )
 
 
 @query(DAILY_MEAN_SQL)
 def wide_to_daily_mean(t: Tables) -> DataFrame:
-    wide = S.hourly(t, "value").select(
+    wide = S.hourly(t).select(
         F.substring("datetime", 1, 10).alias("date"), *[F.col(s).try_cast("double").alias(s) for s in S.SERIES]
     )
     return P.series_mean(wide, "date", S.SERIES, "city", "avg_temperature", scale=2)
@@ -212,7 +212,7 @@ def wide_to_daily_mean(t: Tables) -> DataFrame:
 def _daily_mode_sql(name: str) -> str:
     return (
         f"SELECT substring(datetime, 1, 10) AS date, '{name}' AS city, {name} AS word, count(*) AS n "
-        f"FROM ({hourly_sql('props')}) GROUP BY 1, 3"
+        f"FROM ({hourly_words_sql()}) GROUP BY 1, 3"
     )
 
 
@@ -226,7 +226,7 @@ DAILY_MODE_SQL = (
 
 @query(DAILY_MODE_SQL)
 def wide_to_daily_mode(t: Tables) -> DataFrame:
-    wide = S.hourly(t, "props").withColumn("date", F.substring("datetime", 1, 10))
+    wide = S.hourly_words(t).withColumn("date", F.substring("datetime", 1, 10))
     return P.series_mode(wide, "date", S.SERIES, "city", "weather_description")
 
 
@@ -363,5 +363,5 @@ WEATHER_SQL = (
 def weather_daily(t: Tables) -> DataFrame:
     cities = D.extract_dimension(S.series_cities(t), ["city", "state_code"], "city_id")
     return normalise.city_weather(
-        t.spark, cities, S.series_attributes(t), S.hourly(t, "value"), S.hourly(t, "props"), S.SERIES_STATES, scale=2
+        t.spark, cities, S.series_attributes(t), S.hourly(t), S.hourly_words(t), S.SERIES_STATES, scale=2
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relweave.functions import parse_hours
 from relweave.gallery.registry import Tables, query
 from relweave.gallery.shapes import HOURS, shape_sql
 from relweave.gallery import shapes as S
@@ -152,6 +153,13 @@ def hours_split(t: Tables) -> DataFrame:
     return normalise.business_hours(S.business(t))
 
 
+@query(f"SELECT business_id, Monday_from, Monday_to, Friday_from, Friday_to FROM ({HOURS_SQL})")
+def struct_split(t: Tables) -> DataFrame:
+    days = ["Monday", "Friday"]
+    raw = N.expand_struct(S.business(t), "hours", ["business_id"]).select("business_id", *days)
+    return N.split_structs(raw.withColumns({d: parse_hours(d) for d in days}), days, ["from", "to"])
+
+
 @query(f"SELECT business_id FROM ({HOURS_SQL}) WHERE Sunday_from <= 2000 AND Sunday_to > 2000")
 def open_at(t: Tables) -> DataFrame:
     return R.open_at(normalise.business_hours(S.business(t)), "Sunday_from", "Sunday_to", 2000).select("business_id")

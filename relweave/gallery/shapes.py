@@ -199,17 +199,34 @@ def demographics(t: Tables) -> DataFrame:
     return counted.where("total_population >= 5000").select(F.struct(*counted.columns).alias("fields"))
 
 
-def hourly(t: Tables, value: str) -> DataFrame:
-    """Wide hourly series: one row per hour, one column per event type, NULL where nothing happened."""
-    cells = [F.max(F.when(F.col("event_type") == s, F.col(value))).cast("string").alias(s) for s in SERIES]
+def hourly(t: Tables) -> DataFrame:
+    """Wide hourly series: one row per hour, one text column per event type, NULL where nothing happened."""
+    return _hours(t).select("datetime", *[F.col(s).cast("string").alias(s) for s in SERIES])
+
+
+def hourly_words(t: Tables) -> DataFrame:
+    """The same hours described by a word."""
+    return _hours(t).selectExpr("datetime", *[f"{word(s)} AS {s}" for s in SERIES])
+
+
+def _hours(t: Tables) -> DataFrame:
+    cells = [F.max(F.when(F.col("event_type") == s, F.col("value"))).alias(s) for s in SERIES]
     return t.events.groupBy(F.expr(HOUR).alias("datetime")).agg(*cells)
 
 
-def hourly_sql(value: str) -> str:
-    cells = ", ".join(f"max(CASE WHEN event_type = '{s}' THEN {value} END) AS {s}" for s in SERIES)
+def word(column: str) -> str:
+    return f"CASE WHEN {column} < 20 THEN 'clear' WHEN {column} < 60 THEN 'clouds' WHEN {column} < 150 THEN 'rain' WHEN {column} >= 150 THEN 'storm' END"
+
+
+def hourly_sql() -> str:
+    cells = ", ".join(f"max(CASE WHEN event_type = '{s}' THEN value END) AS {s}" for s in SERIES)
     return f"SELECT {HOUR} AS datetime, {cells} FROM events GROUP BY 1"
 
 
+def hourly_words_sql() -> str:
+    return f"SELECT datetime, {', '.join(f'{word(s)} AS {s}' for s in SERIES)} FROM ({hourly_sql()})"
+
+
 def series_cities(t: Tables) -> DataFrame:
     return t.events.selectExpr("event_type AS city", f"{SERIES_STATE} AS state_code").distinct()
 

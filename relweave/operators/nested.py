@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relweave.functions.values import as_column, dict_text_to_json, parse_flag_struct
+from relweave.functions.values import as_column, dict_text_to_json, flag_of, parse_flag_struct
 
 # More distinct keys than this means the column is data, not a set of attributes.
 KEY_LIMIT = 5_000
@@ -60,7 +60,7 @@ def flag_dicts_to_columns(df: DataFrame, columns: Mapping[str, Sequence[str] | N
     others = [F.col(c) for c in df.columns if c not in keys]
     parsed = df.select(*others, *[parse_flag_struct(c, k).alias(c) for c, k in keys.items()])
     flags = [
-        F.col(c).getField(k).alias(column_name_for(c, k)) for c, wanted in keys.items() for k in wanted
+        flag_of(c, k).alias(column_name_for(c, k)) for c, wanted in keys.items() for k in wanted
     ]
     return parsed.select(*others, *flags)
 

@@ -9,10 +9,12 @@ from dataclasses import dataclass
 from graphlib import TopologicalSorter
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relweave.functions.values import text_to
+
 # Warehouse type names and their Spark types (fixed values).
 SPARK_TYPES = {
     "boolean": "boolean", "bool": "boolean",
@@ -48,6 +50,10 @@ class ColumnSpec:
             raise ValueError(f"column {self.name}: unknown type {self.declared!r}") from None
 
 
+def _type(column: ColumnSpec) -> T.DataType:
+    return T.DataType.fromDDL(column.spark_type)
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     column: str
@@ -87,7 +93,7 @@ class TableSpec:
 
     @property
     def struct_type(self) -> T.StructType:
-        return T.StructType([T.StructField(c.name, T._parse_datatype_string(c.spark_type)) for c in self.columns])
+        return T.StructType([T.StructField(c.name, _type(c)) for c in self.columns])
 
     @classmethod
     def of(cls, name: str, columns: str | Sequence[tuple[str, str]], **keys) -> TableSpec:
@@ -173,17 +179,25 @@ def conform(df: DataFrame, spec: TableSpec | T.StructType, on_missing: str = "nu
         raise ValueError(f"columns missing from the data: {absent}")
     return df.select(
         *[
-            (F.lit(None).cast(f.dataType) if f.name in absent else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+            (F.lit(None).cast(f.dataType) if f.name in absent else _fitted(df, f.name, f.dataType)).alias(f.name)
             for f in schema
         ]
     )
 
 
+def _fitted(df: DataFrame, column: str, to: T.DataType) -> Column:
+    if df.schema[column].dataType == to:
+        return F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return text_to(column, to.simpleString())
+    return F.col(column).try_cast(to)
+
+
 def cast_losses(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Per column the number of values that :func:`conform` turns into NULL, in one pass."""
     shared = [c for c in spec.columns if c.name in df.columns]
     lost = [
-        F.count_if(F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.spark_type).isNull()).alias(c.name)
+        F.count_if(F.col(c.name).isNotNull() & _fitted(df, c.name, _type(c)).isNull()).alias(c.name)
         for c in shared
     ]
     return df.agg(*lost).unpivot([], [c.name for c in shared], "column", "n_lost")
@@ -192,7 +206,7 @@ def cast_losses(df: DataFrame, spec: TableSpec) -> DataFrame:
 def schema_difference(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, str | None, str | None]]:
     """``(column, problem, declared, actual)`` for every deviation from the spec."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
-    declared = {c.name: T._parse_datatype_string(c.spark_type).simpleString() for c in spec.columns}
+    declared = {c.name: _type(c).simpleString() for c in spec.columns}
     found = []
     for name, kind in declared.items():
         if name not in actual:

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relweave.functions import (
-    clean_bool, clean_int, clean_string, content_key, day_text, parse_date, parse_hours, parse_timestamp,
-    slugify, split_list,
+    clean_bool, clean_int, clean_string, clock_of, content_key, day_text, parse_date, parse_timestamp, slugify,
+    split_list, text_to,
 )
 from relweave.operators.aggregate import distinct_rows
 from relweave.operators.dimension import bridge_table, dense_key, extract_dimension, foreign_key, occurrence_key
 from relweave.operators.joins import lookup
 from relweave.operators.nested import (
-    expand_struct, explode_array, explode_delimited, flag_dicts_to_columns, split_structs,
+    expand_struct, explode_array, explode_delimited, flag_dicts_to_columns,
 )
 from relweave.operators.reshape import others, pivot_max, series_mean, series_mode
 from relweave.plans import vocabulary as V
@@ -139,7 +139,8 @@ def business_hours(business: DataFrame) -> DataFrame:
     """Opening hours as two integers per weekday."""
     raw = expand_struct(business, "hours", ["business_id"])
     days = [d for d in V.DAYS if d in raw.columns]
-    return split_structs(raw.withColumns({d: parse_hours(d) for d in days}), days, ["from", "to"])
+    clocks = [clock_of(day, side).alias(f"{day}_{side}") for day in days for side in ("from", "to")]
+    return raw.select("business_id", *clocks)
 
 
 def reviews(review: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def users(user: DataFrame) -> DataFrame:
 
 def elite_years(user: DataFrame, distinct: str | None = None) -> DataFrame:
     rows = explode_delimited(user, "elite", "year", ["user_id"], ",", distinct=distinct)
-    return rows.select("user_id", F.col("year").try_cast("int").alias("year"))
+    return rows.select("user_id", text_to("year", "int").alias("year"))
 
 
 def friends(user: DataFrame, user_is_unique: bool = False, null_tokens: Sequence[str] = ("",)) -> DataFrame:
@@ -199,7 +200,7 @@ def city_weather(
     if not wanted:
         raise ValueError("none of the cities is a column of both weather files")
     day = day_text("datetime").alias("date")
-    readings = temperature.select(day, *[F.col(f"`{c}`").try_cast("double").alias(c) for c in wanted])
+    readings = temperature.select(day, *[text_to(F.col(f"`{c}`"), "double").alias(c) for c in wanted])
     words = description.select(day, *[F.col(f"`{c}`") for c in wanted])
     mean = series_mean(readings, "date", wanted, "city", "avg_temperature", scale)
     mode = series_mode(words, "date", wanted, "city", "weather_description", ignore_nulls)

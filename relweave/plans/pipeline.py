@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from graphlib import TopologicalSorter
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from relweave.operators.load import load_table
@@ -13,12 +16,18 @@ from relweave.plans import normalise as N
 from relweave.plans.schemas import SOURCES, source_schema, target_specs
 from relweave.sources import read_csv, read_parquet, stage_json, write_parquet
 
+JOBS_AT_ONCE = 4
 CSV_SOURCES = ("city_attributes", "temperature", "weather_description")
 
 
-def read_sources(spark: SparkSession, paths: Mapping[str, str], staging: str) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, paths: Mapping[str, str], staging: str, workers: int = JOBS_AT_ONCE) -> dict[str, DataFrame]:
     """Sources by name. JSON text is parsed once into Parquet: several tables read the same source."""
-    sources = {name: stage_json(spark, paths[name], source_schema(name), f"{staging}/{name}") for name in SOURCES}
+
+    def staged(name: str) -> DataFrame:
+        return stage_json(spark, paths[name], source_schema(name), f"{staging}/{name}")
+
+    with ThreadPoolExecutor(workers) as pool:
+        sources = dict(zip(SOURCES, pool.map(inheritable_thread_target(spark)(staged), SOURCES)))
     return sources | {name: read_csv(spark, paths[name]) for name in CSV_SOURCES}
 
 
@@ -54,16 +63,51 @@ def build_tables(
     out: str,
     keys: str = "content",
     specs: Mapping[str, TableSpec] | None = None,
+    workers: int = JOBS_AT_ONCE,
 ) -> dict[str, DataFrame]:
-    """Build and write every table below ``out``, referenced tables first, and read them back."""
+    """Build and write every table below ``out`` and read them back.
+
+    Tables are built side by side, so that the last tasks of one do not leave the cluster idle. Only
+    those that look something up in another table wait for it: with content keys that is the weather
+    alone.
+    """
     specs = specs or target_specs(keys)
-    sources = read_sources(spark, paths, f"{out}/_sources")
-    tables: dict[str, DataFrame] = {}
-    for name in load_order(specs.values()):
-        built = conform(builders(spark, sources, tables, keys)[name](), specs[name])
+    sources = read_sources(spark, paths, f"{out}/_sources", workers)
+    tables: dict[str, DataFrame | None] = dict.fromkeys(specs)
+    make = builders(spark, sources, tables, keys)
+
+    def build(name: str) -> None:
+        built = conform(make[name](), specs[name])
         write_parquet(lay_out(built, specs[name]), f"{out}/{name}")
         tables[name] = read_parquet(spark, f"{out}/{name}", specs[name].struct_type)
-    return tables
+
+    for step in build_steps(specs, keys):
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(inheritable_thread_target(spark)(build), step))
+    return {name: tables[name] for name in load_order(specs.values())}
+
+
+# Tables that another one is looked up in while it is built.
+LOOKUPS = {
+    "content": {"city_weather": {"cities"}},
+    "dense": {
+        "city_weather": {"cities"}, "addresses": {"cities"}, "businesses": {"addresses", "cities"},
+        "business_categories": {"categories"},
+    },
+}
+
+
+def build_steps(names: Iterable[str], keys: str = "content") -> list[list[str]]:
+    """Tables in groups that can be built side by side."""
+    names = set(names)
+    order = TopologicalSorter({n: LOOKUPS[keys].get(n, set()) & names for n in sorted(names)})
+    order.prepare()
+    steps = []
+    while order.is_active():
+        ready = sorted(order.get_ready())
+        steps.append(ready)
+        order.done(*ready)
+    return steps
 
 
 def load_tables(

@@ -47,7 +47,7 @@ KEY_TYPES = {"content": "varchar(32)", "dense": "bigint"}
 
 
 def source_schema(name: str) -> T.StructType:
-    return T._parse_datatype_string(SOURCES[name])
+    return T.StructType.fromDDL(SOURCES[name])
 
 
 def target_specs(keys: str = "content") -> dict[str, TableSpec]:
