@@ -58,18 +58,22 @@ def clean_int(col: Column | str) -> Column:
     return clean_number(col, "int")
 
 
+# A quoted text, so that a pattern steps over whole texts and never matches inside one.
+QUOTED = r"""(?:'[^'\\]*(?:\\.[^'\\]*)*'|"[^"\\]*(?:\\.[^"\\]*)*")"""
+JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true"}
+
+
 def dict_text_to_json(col: Column | str) -> Column:
     """Python dictionary text to JSON text; NULL, ``None`` and empty text to NULL.
 
     The words True, False and None become the texts ``=True``, ``=False`` and ``=None``, which no
-    quoted value of the source can be mistaken for. The patterns are anchored to the punctuation around
-    a value, so a key such as ``menu`` or ``True story`` is left alone; the JSON reader accepts single
-    quotes.
+    quoted value of the source can be mistaken for; keys are left alone whatever they contain. The JSON
+    reader accepts single quotes.
     """
     c = as_column(col)
     c = F.when(~c.isin("", "None"), c)
-    c = F.when(F.contains(c, F.lit("u'")), F.regexp_replace(c, r"(^|[{,:\s])u(?=')", "$1")).otherwise(c)
-    return F.regexp_replace(c, r":\s*(True|False|None)(?=\s*[,}])", ': "=$1"')
+    c = F.when(F.contains(c, F.lit("u'")) | F.contains(c, F.lit('u"')), F.regexp_replace(c, f"u?({QUOTED})", "$1")).otherwise(c)
+    return F.regexp_replace(c, rf"([{{,]\s*{QUOTED}\s*:\s*)(True|False|None)(?=\s*[,}}])", '$1"=$2"')
 
 
 def _flag(value: Column) -> Column:
@@ -78,18 +82,19 @@ def _flag(value: Column) -> Column:
 
 def parse_flag_dict(col: Column | str) -> Column:
     """Dictionary text to ``map<string,boolean>``; a value that is no flag becomes NULL."""
-    entries = F.from_json(dict_text_to_json(col), T.MapType(T.StringType(), T.StringType()))
+    entries = F.from_json(dict_text_to_json(col), T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS)
     return F.transform_values(entries, lambda _, value: _flag(value))
 
 
 def parse_flag_struct(col: Column | str, keys: Sequence[str]) -> Column:
     """Dictionary text to a struct holding the raw words of the wanted keys; see :func:`flag_of`."""
-    return F.from_json(dict_text_to_json(col), T.StructType([T.StructField(k, T.StringType()) for k in keys]))
+    return F.from_json(dict_text_to_json(col), T.StructType([T.StructField(k, T.StringType()) for k in keys]), JSON_OPTIONS)
 
 
-def flag_of(parsed: Column | str, key: str) -> Column:
-    """One boolean of :func:`parse_flag_struct`."""
-    return _flag(as_column(parsed).getField(key))
+def flag_of(parsed: str, key: str) -> Column:
+    """One boolean of a :func:`parse_flag_struct` column."""
+    field = ".".join(f"`{part.replace('`', '``')}`" for part in (parsed, key))
+    return F.expr(f"CASE {field} WHEN '=True' THEN true WHEN '=False' THEN false END")
 
 
 def split_list(col: Column | str, protected: Sequence[str] = (), pattern: str = r",\s*") -> Column:

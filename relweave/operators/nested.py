@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relweave.functions.values import as_column, dict_text_to_json, flag_of, parse_flag_struct
+from relweave.functions.values import JSON_OPTIONS, as_column, dict_text_to_json, flag_of, parse_flag_struct
 
 # More distinct keys than this means the column is data, not a set of attributes.
 KEY_LIMIT = 5_000
@@ -67,7 +67,7 @@ def flag_dicts_to_columns(df: DataFrame, columns: Mapping[str, Sequence[str] | N
 
 def _keys_in_text(df: DataFrame, column: str) -> list[str]:
     # a map of strings accepts any value, so a malformed one cannot hide the other keys
-    as_map = F.from_json(dict_text_to_json(column), T.MapType(T.StringType(), T.StringType()))
+    as_map = F.from_json(dict_text_to_json(column), T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS)
     return bounded_values(df.select(F.explode(F.map_keys(as_map)).alias("key")), "key")
 
 

@@ -38,11 +38,11 @@ def builders(
     s = sources
     return {
         "cities": lambda: N.cities(s["business"], s["demographics"], keys),
-        "addresses": lambda: N.addresses(s["business"], tables["cities"], keys),
-        "businesses": lambda: N.businesses(s["business"], tables["addresses"], tables["cities"], keys),
+        "addresses": lambda: N.addresses(s["business"], tables.get("cities"), keys),
+        "businesses": lambda: N.businesses(s["business"], tables.get("addresses"), tables.get("cities"), keys),
         "business_attributes": lambda: N.business_attributes(s["business"]),
         "categories": lambda: N.categories(s["business"], keys),
-        "business_categories": lambda: N.business_categories(s["business"], tables["categories"], keys),
+        "business_categories": lambda: N.business_categories(s["business"], tables.get("categories"), keys),
         "business_hours": lambda: N.business_hours(s["business"]),
         "users": lambda: N.users(s["user"]),
         "elite_years": lambda: N.elite_years(s["user"]),
@@ -52,7 +52,7 @@ def builders(
         "tips": lambda: N.tips(s["tip"]),
         "photos": lambda: N.photos(s["photo"]),
         "city_weather": lambda: N.city_weather(
-            spark, tables["cities"], s["city_attributes"], s["temperature"], s["weather_description"]
+            spark, tables.get("cities"), s["city_attributes"], s["temperature"], s["weather_description"]
         ),
     }
 
@@ -73,7 +73,7 @@ def build_tables(
     """
     specs = specs or target_specs(keys)
     sources = read_sources(spark, paths, f"{out}/_sources", workers)
-    tables: dict[str, DataFrame | None] = dict.fromkeys(specs)
+    tables: dict[str, DataFrame] = {}
     make = builders(spark, sources, tables, keys)
 
     def build(name: str) -> None:
