@@ -76,7 +76,7 @@ def create_if_missing(spark: SparkSession, spec: TableSpec, table: str, root: st
 def reconcile_columns(spark: SparkSession, spec: TableSpec, table: str) -> list[str]:
     """Add declared columns that the stored table lacks; returns their names."""
     new = missing_columns(spark.table(table), spec.column_names)
-    types = {c.name: c.spark_type for c in spec.columns}
+    types = {c.name: c.spark_type.simpleString() for c in spec.columns}
     if new:
         columns = ", ".join(f"`{c}` {types[c]}" for c in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")

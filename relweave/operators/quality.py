@@ -63,7 +63,8 @@ def within(observed: Column, expected: float, tolerance: float | None = None) ->
 
 def check_sql(spark: SparkSession, name: str, sql: str, expected, tolerance: float | None = None) -> DataFrame:
     """Value check of every column in the first row of a query; text is compared as text."""
-    row = spark.sql(sql).limit(1)
+    result = spark.sql(sql).limit(1)
+    row = result.toDF(*[f"_{i}" for i in range(len(result.columns))])
     numeric = isinstance(expected, (int, float))
     tests = [
         within(F.col(c).try_cast("double"), expected, tolerance)
@@ -76,7 +77,7 @@ def check_sql(spark: SparkSession, name: str, sql: str, expected, tolerance: flo
 
 def check_truthy(df: DataFrame, name: str) -> DataFrame:
     """Passes when there is a first row and none of its values is false, zero, empty or NULL."""
-    row = df.limit(1)
+    row = df.limit(1).toDF(*[f"_{i}" for i in range(len(df.columns))])
     return _verdict(row, name, reduce(Column.__and__, [truthy(f) for f in row.schema]))
 
 
@@ -196,7 +197,8 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     summary = df.agg(
         F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
     )
-    return summary.unpivot(["_rows"], df.columns, "column", "n_nulls").withColumnRenamed("_rows", "n_rows")
+    long = summary.unpivot(["_rows"], df.columns, "column", "n_nulls")
+    return long.select("column", F.col("_rows").alias("n_rows"), "n_nulls")
 
 
 def profile_lengths(df: DataFrame) -> DataFrame:

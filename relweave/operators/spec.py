@@ -17,15 +17,15 @@ from relweave.functions.values import text_to
 
 # Warehouse type names and their Spark types (fixed values).
 SPARK_TYPES = {
-    "boolean": "boolean", "bool": "boolean",
-    "smallint": "smallint", "int2": "smallint",
-    "integer": "int", "int": "int", "int4": "int",
-    "bigint": "bigint", "int8": "bigint",
-    "real": "float", "float4": "float",
-    "float": "double", "float8": "double", "double precision": "double", "double": "double",
-    "date": "date",
-    "timestamp": "timestamp_ntz", "timestamptz": "timestamp",
-    "text": "string", "string": "string",
+    "boolean": T.BooleanType(), "bool": T.BooleanType(),
+    "smallint": T.ShortType(), "int2": T.ShortType(),
+    "integer": T.IntegerType(), "int": T.IntegerType(), "int4": T.IntegerType(),
+    "bigint": T.LongType(), "int8": T.LongType(),
+    "real": T.FloatType(), "float4": T.FloatType(),
+    "float": T.DoubleType(), "float8": T.DoubleType(), "double precision": T.DoubleType(), "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampNTZType(), "timestamptz": T.TimestampType(),
+    "text": T.StringType(), "string": T.StringType(),
 }
 TEXT_TYPE = re.compile(r"(?:varchar|char|character varying|character)\s*\(\s*(\d+)\s*\)$")
 
@@ -41,19 +41,15 @@ class ColumnSpec:
         return int(match.group(1)) if match else None
 
     @property
-    def spark_type(self) -> str:
+    def spark_type(self) -> T.DataType:
         if self.max_length is not None:
-            return "string"
+            return T.StringType()
         try:
             return SPARK_TYPES[self.declared.strip().lower()]
         except KeyError:
             raise ValueError(f"column {self.name}: unknown type {self.declared!r}") from None
 
 
-def _type(column: ColumnSpec) -> T.DataType:
-    return T.DataType.fromDDL(column.spark_type)
-
-
 @dataclass(frozen=True)
 class ForeignKey:
     column: str
@@ -93,7 +89,7 @@ class TableSpec:
 
     @property
     def struct_type(self) -> T.StructType:
-        return T.StructType([T.StructField(c.name, _type(c)) for c in self.columns])
+        return T.StructType([T.StructField(c.name, c.spark_type) for c in self.columns])
 
     @classmethod
     def of(cls, name: str, columns: str | Sequence[tuple[str, str]], **keys) -> TableSpec:
@@ -197,7 +193,7 @@ def cast_losses(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Per column the number of values that :func:`conform` turns into NULL, in one pass."""
     shared = [c for c in spec.columns if c.name in df.columns]
     lost = [
-        F.count_if(F.col(c.name).isNotNull() & _fitted(df, c.name, _type(c)).isNull()).alias(c.name)
+        F.count_if(F.col(c.name).isNotNull() & _fitted(df, c.name, c.spark_type).isNull()).alias(c.name)
         for c in shared
     ]
     return df.agg(*lost).unpivot([], [c.name for c in shared], "column", "n_lost")
@@ -206,7 +202,7 @@ def cast_losses(df: DataFrame, spec: TableSpec) -> DataFrame:
 def schema_difference(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, str | None, str | None]]:
     """``(column, problem, declared, actual)`` for every deviation from the spec."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
-    declared = {c.name: _type(c).simpleString() for c in spec.columns}
+    declared = {c.name: c.spark_type.simpleString() for c in spec.columns}
     found = []
     for name, kind in declared.items():
         if name not in actual:
