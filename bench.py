@@ -10,6 +10,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from relweave.gallery import QUERIES, Tables, shapes  # noqa: E402
 from relweave.plans.pipeline import build_tables  # noqa: E402
 from relweave.session import build_session, scratch_path  # noqa: E402
@@ -39,10 +41,14 @@ def source_files(tables: Tables) -> dict[str, str]:
         "tip": shapes.tip, "photo": shapes.photo, "demographics": shapes.demographics,
     }
     paths = {}
+    cities = dict(zip(shapes.SERIES, ("Phoenix", "Dallas", "Seattle", "Denver", "Boston")))
     for name, make in documents.items():
         paths[name] = scratch_path(tables.spark, name)
-        write_json(make(tables), paths[name], n_files=8)
-    cities = dict(zip(shapes.SERIES, ("Phoenix", "Dallas", "Seattle", "Denver", "Boston")))
+        frame = make(tables)
+        if name == "business":  # some of the businesses are in the cities with weather
+            frame = frame.withColumn("city", F.regexp_replace("city", "^NATION_1$", "Phoenix"))
+            frame = frame.withColumn("state", F.when(F.col("city") == "Phoenix", "AZ").otherwise(F.col("state")))
+        write_json(frame, paths[name], n_files=8)
     named = {"temperature": shapes.hourly(tables), "weather_description": shapes.hourly_words(tables)}
     for name, wide in named.items():
         paths[name] = scratch_path(tables.spark, name)
