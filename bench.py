@@ -70,7 +70,6 @@ def main() -> None:
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=os.path.join(scratch.name, "warehouse"),
-        spark__checkpoint__dir=scratch.name,
     )
     spark.sparkContext.setLogLevel("ERROR")
     tables = Tables(spark, folder)

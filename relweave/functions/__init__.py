@@ -11,7 +11,7 @@ from relweave.functions.values import (
     dict_text_to_json,
     flag_of,
     parse_flag_dict,
-    parse_flag_struct,
+    parse_flags,
     parse_hours,
     slugify,
     split_list,
@@ -30,7 +30,7 @@ __all__ = [
     "flag_of",
     "parse_date",
     "parse_flag_dict",
-    "parse_flag_struct",
+    "parse_flags",
     "parse_hours",
     "parse_timestamp",
     "slugify",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -58,8 +59,11 @@ def clean_int(col: Column | str) -> Column:
     return clean_number(col, "int")
 
 
-# A quoted text, so that a pattern steps over whole texts and never matches inside one.
-QUOTED = r"""(?:'[^'\\]*(?:\\.[^'\\]*)*'|"[^"\\]*(?:\\.[^"\\]*)*")"""
+# A quoted text, so that a pattern steps over whole texts and never matches inside one. The loops are
+# possessive: they run without recursion, so long texts cannot overflow the stack.
+QUOTED = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+# Dictionary text exactly as Python prints a dictionary of plain keys and flags.
+PRINTED_FLAGS = r"^\{(?:'[^'\\]*+': (?:True|False|None)(?:, |(?=\})))*+\}$"
 JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true"}
 
 
@@ -86,15 +90,31 @@ def parse_flag_dict(col: Column | str) -> Column:
     return F.transform_values(entries, lambda _, value: _flag(value))
 
 
-def parse_flag_struct(col: Column | str, keys: Sequence[str]) -> Column:
-    """Dictionary text to a struct holding the raw words of the wanted keys; see :func:`flag_of`."""
-    return F.from_json(dict_text_to_json(col), T.StructType([T.StructField(k, T.StringType()) for k in keys]), JSON_OPTIONS)
+def parse_flags(col: Column | str, keys: Sequence[str]) -> tuple[Column, Column]:
+    """Dictionary text in the two forms :func:`flag_of` reads: the text itself where Python could have
+    printed it, and a struct of the raw words of the wanted keys for every other text."""
+    c = as_column(col)
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in keys])
+    if not all(map(is_plain, keys)):
+        return F.lit(None).cast("string"), F.from_json(dict_text_to_json(c), schema, JSON_OPTIONS)
+    printed = c.rlike(PRINTED_FLAGS)
+    return F.when(printed, c), F.from_json(dict_text_to_json(F.when(~printed, c)), schema, JSON_OPTIONS)
+
+
+def flag_of(printed: Column, parsed: Column, key: str) -> Column:
+    """One boolean of :func:`parse_flags`. In printed text a plain key is found by its quotes, at a
+    fraction of the cost of parsing."""
+    word = parsed.getField(key)
+    is_true, is_false = word == "=True", word == "=False"
+    if is_plain(key):
+        is_true = is_true | F.contains(printed, F.lit(f"'{key}': True"))
+        is_false = is_false | F.contains(printed, F.lit(f"'{key}': False"))
+    return F.when(is_true, F.lit(True)).when(is_false, F.lit(False))
 
 
-def flag_of(parsed: str, key: str) -> Column:
-    """One boolean of a :func:`parse_flag_struct` column."""
-    field = ".".join(f"`{part.replace('`', '``')}`" for part in (parsed, key))
-    return F.expr(f"CASE {field} WHEN '=True' THEN true WHEN '=False' THEN false END")
+def is_plain(key: str) -> bool:
+    """Letters, digits, underscores and hyphens only, so that it cannot span two quoted items."""
+    return re.fullmatch(r"[\w-]+", key) is not None
 
 
 def split_list(col: Column | str, protected: Sequence[str] = (), pattern: str = r",\s*") -> Column:
@@ -111,23 +131,24 @@ def split_list(col: Column | str, protected: Sequence[str] = (), pattern: str =
     return F.filter(F.concat(*pieces, F.split(rest, pattern)), lambda item: item != "")
 
 
-def clock_of(col: Column | str, side: str) -> Column:
-    """The ``from`` or ``to`` of ``9:30-17:0`` as ``hour * 100 + minute``; unreadable text is NULL."""
-    c = as_column(col)
+# ``hour:minute-hour:minute``; further parts of a side are ignored.
+HOURS_TEXT = r"^\s*\d{1,6}\s*:\s*\d{1,6}\s*(?::[^-]*)?-\s*\d{1,6}\s*:\s*\d{1,6}\s*(?:[:-].*)?$"
 
-    def item(text: Column, sep: str, index: int) -> Column:
-        if index == 0:
-            return F.substring_index(text, sep, 1)
-        found = F.substring_index(F.substring_index(text, sep, 2), sep, -1)
-        return F.when(F.contains(text, F.lit(sep)), found)
 
-    half = item(c, "-", ("from", "to").index(side))
-    hour, minute = (text_to(item(half, ":", i), "int") for i in (0, 1))
-    return F.try_add(F.try_multiply(hour, F.lit(100)), minute)
+def clock_of(col: Column | str, side: str) -> Column:
+    """The ``from`` or ``to`` of ``9:30-17:0`` as ``hour * 100 + minute``; unreadable text is NULL.
+
+    One test of the whole text comes first, so that what follows is plain cutting and cannot fail.
+    """
+    c = as_column(col)
+    half = F.substring_index(c, "-", 1) if side == "from" else F.substring_index(F.substring_index(c, "-", 2), "-", -1)
+    hour = F.substring_index(half, ":", 1).cast("int")
+    minute = F.substring_index(F.substring_index(half, ":", 2), ":", -1).cast("int")
+    return F.when(c.rlike(HOURS_TEXT), hour * 100 + minute)
 
 
 def parse_hours(col: Column | str) -> Column:
-    """``9:30-17:0`` to ``struct<from: 930, to: 1700>``; an unreadable side is NULL."""
+    """``9:30-17:0`` to ``struct<from: 930, to: 1700>``; unreadable text gives two NULLs."""
     c = as_column(col)
     return F.when(c.isNotNull(), F.struct(clock_of(c, "from").alias("from"), clock_of(c, "to").alias("to")))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relweave.functions.values import JSON_OPTIONS, as_column, dict_text_to_json, flag_of, parse_flag_struct
+from relweave.functions.values import JSON_OPTIONS, as_column, dict_text_to_json, flag_of, parse_flags
 
 # More distinct keys than this means the column is data, not a set of attributes.
 KEY_LIMIT = 5_000
@@ -53,14 +53,18 @@ def map_to_columns(df: DataFrame, column: str, keys: Sequence[str] | None = None
 def flag_dicts_to_columns(df: DataFrame, columns: Mapping[str, Sequence[str] | None]) -> DataFrame:
     """Replace dictionary-text columns by boolean columns; ``None`` keys are looked up in the data.
 
-    Parsing into a struct of the wanted keys lets one malformed value null a single flag, where a
-    map would lose the whole dictionary.
+    One malformed value nulls its own flag only, where reading a map of booleans would lose the whole
+    dictionary.
     """
     keys = {c: (_keys_in_text(df, c) if k is None else list(k)) for c, k in columns.items()}
     others = [F.col(c) for c in df.columns if c not in keys]
-    parsed = df.select(*others, *[parse_flag_struct(c, k).alias(c) for c, k in keys.items()])
+    forms = {c: parse_flags(c, k) for c, k in keys.items()}
+    parsed = df.select(
+        *others, *[form.alias(f"_{kind}_{c}") for c, pair in forms.items() for kind, form in zip(("text", "words"), pair)]
+    )
     flags = [
-        flag_of(c, k).alias(column_name_for(c, k)) for c, wanted in keys.items() for k in wanted
+        flag_of(F.col(f"_text_{c}"), F.col(f"_words_{c}"), k).alias(column_name_for(c, k))
+        for c, wanted in keys.items() for k in wanted
     ]
     return parsed.select(*others, *flags)
 

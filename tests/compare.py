@@ -28,7 +28,7 @@ def type_names(table) -> dict[str, str]:
 
 def differences(df, connection, sql: str) -> list[str]:
     ours = df.toArrow()
-    theirs = connection.execute(sql).to_arrow_table()
+    theirs = connection.sql(sql).to_arrow_table()
     found = []
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return [f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"]

@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(base / "warehouse"),
-        spark__checkpoint__dir=str(base / "scratch"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

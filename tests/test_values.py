@@ -54,8 +54,8 @@ def test_timestamp_is_independent_of_the_session_zone(spark):
 
 HOURS = {
     "9:0-0:0": (900, 0), "10:00-21:00": (1000, 2100), "9:0-1:0": (900, 100), "10:30-21:45": (1030, 2145), None: None,
-    "junk": (None, None), "9:0": (900, None), "9-17": (None, None), "a:b-17:5": (None, 1705), "99999999:0-1:0": (None, 100),
-    "9:0-12:0-17:0": (900, 1200),
+    " 9 : 5 - 17:0 ": (905, 1700), "9:0:30-17:15:59": (900, 1715), "9:0-12:0-17:0": (900, 1200), "junk": (None, None),
+    "9:0": (None, None), "9-17": (None, None), "a:b-17:5": (None, None), "99999999:0-1:0": (None, None), "": (None, None),
 }
 
 
@@ -84,6 +84,9 @@ DICTS = {
     r"{'both \' and \"': True, ',u': False, ', ': True}": {"both ' and \"": True, ",u": False, ", ": True},
     "{'x': ', y: True, ', u'z': False}": {"x": None, "z": False},
     "not a dictionary": None,
+    "{'a': True, 'b': False}": {"a": True, "b": False},
+    "{'aa': True, 'a': False, 'ba': None}": {"aa": True, "a": False, "ba": None},
+    "{" + ", ".join(f"'k{i}': True" for i in range(5000)) + ", 'a': True}": {f"k{i}": True for i in range(5000)} | {"a": True},
 }
 
 
@@ -98,11 +101,15 @@ def test_flag_columns_declared_and_discovered(spark):
     assert [r[1:] for r in named.collect()] == [
         ((d or {}).get("romantic"), (d or {}).get("a"), None) for d in DICTS.values()
     ]
+    plain = flag_dicts_to_columns(df, {"Diet": ["a", "b"]}).orderBy("i")
+    assert [r[1:] for r in plain.collect()] == [((d or {}).get("a"), (d or {}).get("b")) for d in DICTS.values()]
+    df = df.where(F.length("Diet") < 1000)
+    few = [d for text, d in DICTS.items() if text is not None and len(text) < 1000]
     found = flag_dicts_to_columns(df, {"Diet": None})
-    keys = sorted({k for d in DICTS.values() for k in (d or {})})
+    keys = sorted({k for d in few for k in (d or {})})
     assert found.columns == ["i", *[f"Diet_{k}" for k in keys]]
     assert [tuple(r)[1:] for r in found.orderBy("i").collect()] == [
-        tuple((d or {}).get(k) for k in keys) for d in DICTS.values()
+        tuple((d or {}).get(k) for k in keys) for d in few
     ]
 
 
