@@ -79,6 +79,9 @@ def main() -> None:
     result = {
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")), "cpus": int(cpus),
+        "settings": {
+            "spark": spark.version, "shuffle_partitions": int(cpus), "driver_memory": "12g", "warm_runs": 1, "best_of": RUNS,
+        },
     }
     if not only:
         paths = source_files(tables)

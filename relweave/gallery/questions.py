@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from relweave.gallery.registry import Tables, query
 from relweave.gallery.shapes import money_sql
 from relweave.plans import analytics as Q
+from relweave.session import materialise
 
 
 def _reviews(t: Tables) -> DataFrame:
@@ -29,7 +30,11 @@ def _cities(t: Tables) -> DataFrame:
 
 
 def _weather(t: Tables) -> DataFrame:
-    """Mean value and most frequent type per city and day; the events are first counted per business."""
+    """Mean value and most frequent type per city and day; the events are first counted per business.
+
+    The result is stored, as the weather table of the model is: its size is then known, and the facts that
+    look it up are not shuffled while it is small.
+    """
     day = F.col("ts").cast("date").alias("date")
     place = Q.business_city(_businesses(t), _addresses(t))
     typed = _reviews(t).groupBy("business_id", day, "event_type").agg(
@@ -39,9 +44,10 @@ def _weather(t: Tables) -> DataFrame:
         F.sum("total").alias("total"), F.sum("n").alias("n")
     )
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("event_type").alias("word")))
-    return per_city.groupBy("city_id", "date").agg(
+    daily = per_city.groupBy("city_id", "date").agg(
         (F.sum("total").cast("double") / F.sum("n")).alias("avg_temperature"), best["word"].alias("weather_description")
     )
+    return materialise(daily, "weather")
 
 
 RATED = "events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey"

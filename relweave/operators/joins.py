@@ -1,7 +1,8 @@
 """Equi-joins and the operators built on them.
 
-No join here carries a broadcast hint: Spark broadcasts a side when its size statistics are below
-``spark.sql.autoBroadcastJoinThreshold`` and AQE revises the choice with the sizes it has measured.
+Spark broadcasts a side whose size statistics are below ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+revises the choice with the sizes it has measured. :func:`broadcast_within` covers the one case where the
+statistics mislead; nothing else carries a broadcast hint.
 """
 
 from __future__ import annotations
@@ -39,6 +40,19 @@ def lookup(
     return joined.drop(*[f"_key_{r}" for r in pairs.values()])
 
 
+def broadcast_within(df: DataFrame, bound: DataFrame) -> DataFrame:
+    """Hint a broadcast of ``df`` when ``bound``, which it cannot exceed, is below Spark's own threshold.
+
+    Spark estimates a join as the product of its inputs. A small dimension made by a join therefore looks
+    huge, and the fact table would be shuffled before AQE finds out. Beyond the threshold ``df`` comes
+    back as it is and Spark decides.
+    """
+    plan = bound._jdf.queryExecution().optimizedPlan()
+    size = int(str(plan.stats().sizeInBytes()))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if size <= limit else df
+
+
 def salted_lookup(
     df: DataFrame, dim: DataFrame, on: Sequence[str], take: Sequence[str], hot_rows: int, salts: int, how: str = "left"
 ) -> DataFrame:

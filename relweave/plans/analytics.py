@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relweave.operators.aggregate import top_k
-from relweave.operators.joins import lookup, salted_lookup
+from relweave.operators.joins import broadcast_within, lookup, salted_lookup
 
 
 def business_city(businesses: DataFrame, addresses: DataFrame) -> DataFrame:
     """``business_id, city_id`` for every business with a known address."""
-    return lookup(businesses.select("business_id", "address_id"), addresses, ["address_id"], ["city_id"], "inner").select(
-        "business_id", "city_id"
-    )
+    places = businesses.select("business_id", "address_id")
+    located = lookup(places, addresses, ["address_id"], ["city_id"], "inner").select("business_id", "city_id")
+    # an address is one row of its table, so there are no more pairs than businesses
+    return broadcast_within(located, places)
 
 
 def stars_by_city(reviews: DataFrame, businesses: DataFrame, addresses: DataFrame, cities: DataFrame, scale: int = 2) -> DataFrame:

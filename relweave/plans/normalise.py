@@ -18,7 +18,7 @@ from relweave.functions import (
     split_list, text_to,
 )
 from relweave.operators.aggregate import distinct_rows
-from relweave.operators.dimension import bridge_table, dense_key, extract_dimension, foreign_key, occurrence_key
+from relweave.operators.dimension import bridge_table, extract_dimension, foreign_key, occurrence_key
 from relweave.operators.joins import lookup
 from relweave.operators.nested import (
     expand_struct, explode_array, explode_delimited, flag_dicts_to_columns,
@@ -75,7 +75,7 @@ def businesses(
     """Business facts with the key of their address.
 
     ``match='full'`` identifies the address by all its columns including the city, so one business stays
-    one row. ``match='loose'`` joins on the four address columns only, as the original job does, and
+    one row. ``match='loose'`` joins on the four address columns only and
     repeats a business whose address text exists in several cities. A NULL in one of the four columns
     matches nothing unless ``null_safe``.
     """

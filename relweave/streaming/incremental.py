@@ -25,7 +25,7 @@ def incremental_load(
     """Upsert the rows of files not seen before, as recorded in ``checkpoint``.
 
     A batch that is delivered again after a failure changes nothing, because equal keys with an equal
-    incremental value replace each other.
+    incremental value replace each other; rows without an incremental value would be added twice.
     """
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:

@@ -77,3 +77,14 @@ def test_upsert_does_not_shuffle_the_target_for_a_small_batch(spark):
     text = plan(J.newest_wins(t.orders, batch, ["o_orderkey"], "o_orderdate"))
     kept_target = text.split("Union")[1].split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in kept_target and "Exchange hashpartitioning" not in kept_target
+
+
+def test_a_dimension_made_by_a_join_is_broadcast_only_within_the_threshold(spark, plans):
+    assert "Exchange hashpartitioning" not in plans["weather_at_event"]
+    assert plans["weather_at_event"].count("BroadcastHashJoin") == 3
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        t = Tables(spark, FOLDER)
+        assert "BroadcastExchange" not in plan(QUERIES["weather_at_event"].run(t))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
