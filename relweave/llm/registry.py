@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from relweave.llm import exact_dedup
+from relweave.llm import byte_bpe, decontamination, exact_dedup
 
 QUERIES = {
+    "op2_byte_bpe": (byte_bpe.query, None),
+    "op6_decontamination": (decontamination.query, decontamination.SQL),
     "op9_exact_dedup": (exact_dedup.query, exact_dedup.SQL),
 }

@@ -91,7 +91,7 @@ def find_words(texts: Sequence[bytes | None], inside: np.ndarray, lower: bool =
     return Words(joined + b"\0" * 8, start, end, np.searchsorted(start, text_start), text_start)
 
 
-def chunks(texts: Sequence[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+def chunks(texts: Sequence[bytes | str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` bytes together, so that the arrays stay small; a longer text is alone."""
     start, size = 0, 0
     for i, t in enumerate(texts):
