@@ -7,7 +7,8 @@ takes part.
 
 One round counts the rows per (group, digit), which combines map-side, writes the groups with two rows
 or more, and joins them back to the rows. Only rows of such groups carry their text on. The joins are
-plain equi-joins against one row per group, so Spark may split a group of any size over tasks. Rounds
+sort-merge joins at every size (groups grow with the input, so they are never broadcast) against one row
+per group, so Spark may split a group of any size over tasks. Rounds
 are cut by written tables in the shared folder: a lost executor repeats one round at most.
 """
 
@@ -66,7 +67,7 @@ def exact_groups(
         )
 
     found = _repeated(rows, ["size", "digit"])
-    joined = rows.join(found, ["size", "digit"], "left").withColumn("more", F.col("next").isNotNull())
+    joined = rows.join(found.hint("merge"), ["size", "digit"], "left").withColumn("more", F.col("next").isNotNull())
     body = F.col("body") if keep_text else F.when(F.col("more"), F.col("body"))
     level = materialise(
         joined.select(
@@ -82,7 +83,7 @@ def exact_groups(
         active = active.withColumn("digit", F.substring("body", start + 1, width))
         found = _repeated(active, ["group", "digit"], F.max(F.struct("rank", "uid")).alias("top"))
         repeated = F.col("next").isNotNull()
-        joined = active.join(found, ["group", "digit"], "left").withColumns(
+        joined = active.join(found.hint("merge"), ["group", "digit"], "left").withColumns(
             {"repeated": repeated, "more": repeated & (F.col("size") > start + width)}
         )
         level = materialise(
