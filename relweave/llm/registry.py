@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from relweave.llm import byte_bpe, decontamination, exact_dedup, toxicity
+from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, toxicity
 
 QUERIES = {
     "op2_byte_bpe": (byte_bpe.query, None),
+    "op4_jaccard_join": (jaccard_join.query, jaccard_join.SQL),
     "op6_decontamination": (decontamination.query, decontamination.SQL),
     "op10_toxicity": (toxicity.query, None),
     "op9_exact_dedup": (exact_dedup.query, exact_dedup.SQL),

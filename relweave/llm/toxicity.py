@@ -22,7 +22,7 @@ from relweave.llm.words import LETTERS_DIGITS, Words, chunks, find_words, mix
 
 #: The training sample: so many labelled documents of each class at most, each of so many bytes at most.
 MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 3_000, 9_000, 1 << 20
-LEAST_DOCUMENTS, LEAST_Z = 4, 4.0
+LEAST_DOCUMENTS, LEAST_Z = 3, 4.0
 EPOCHS, RATE, DECAY = 250, 0.15, 1e-4
 PREFIX_BYTES = (4, 5, 6, 8)
 _FILTER_BITS = 18
@@ -65,11 +65,12 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Sorted feature hashes with their weights, and the score of a sentence without any."""
+    """Sorted feature hashes with their weights, and the log-odds of a sentence without any."""
 
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
+    boundary: float = 0.0  # log-odds of a document that come out as 0.5
 
     def __post_init__(self):
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
@@ -96,7 +97,8 @@ class Model:
         z += np.bincount(pairs // max(1, len(self.hashes)), self.weights[pairs % max(1, len(self.hashes))], len(first))
         clean = np.concatenate(([0.0], np.cumsum(_softplus(z))))
         bounds = np.searchsorted(first, found.first)
-        return 1 - np.exp(clean[bounds[:-1]] - clean[bounds[1:]]), 1 / (1 + np.exp(-z)), first
+        noisy_or = np.expm1(np.minimum(clean[bounds[1:]] - clean[bounds[:-1]], 500))  # odds
+        return noisy_or / (noisy_or + np.exp(self.boundary)), 1 / (1 + np.exp(-z)), first
 
 
 def train(texts: Sequence[bytes | None], toxic: Sequence[int]) -> Model:
@@ -143,7 +145,19 @@ def train(texts: Sequence[bytes | None], toxic: Sequence[int]) -> Model:
         v = 0.99 * v + 0.01 * gradient**2
         change = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         weights, bias = weights - change[:-1], min(bias - change[-1], -4.0)
-    return Model(hashes[chosen], weights, float(bias))
+    z = bias + np.bincount(row, weights[column], n_sentences)
+    clean = np.bincount(doc_of_sentence, _softplus(z), len(y))
+    return Model(hashes[chosen], weights, float(bias), _boundary(clean, y))
+
+
+def _boundary(clean: np.ndarray, y: np.ndarray) -> float:
+    """Log-odds of a document at which the F1 of the sample is best: the middle of the gap below the last toxic one."""
+    odds = np.log(np.expm1(np.clip(clean, 1e-12, 500)))
+    down = np.argsort(-odds, kind="stable")
+    hits = np.cumsum(y[down])
+    best = int(np.argmax(2 * hits / (np.arange(1, len(y) + 1) + y.sum())))
+    below = odds[down[min(best + 1, len(y) - 1)]]
+    return float(np.clip((odds[down[best]] + below) / 2, -3.0, 0.5))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", order: str = "doc_id", label: str = "toxic") -> Model:
