@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, toxicity
+from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, toxicity
 
 QUERIES = {
+    "op1_language_id": (language_id.query, None),
     "op2_byte_bpe": (byte_bpe.query, None),
     "op4_jaccard_join": (jaccard_join.query, jaccard_join.SQL),
     "op6_decontamination": (decontamination.query, decontamination.SQL),
