@@ -22,6 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,11 +139,11 @@ def _postings(texts: DataFrame, order) -> DataFrame:
     return texts.mapInArrow(run, "shingle long, node long")
 
 
-def _arrays(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes, the array as bytes, once for each.
+def bit_filter(wanted: DataFrame) -> tuple[int, Broadcast]:
+    """A table of at most ``MOST_FILTER_BITS`` bits, one set for each ``node``, broadcast to all tasks.
 
-    A bit table of at most ``MOST_FILTER_BITS`` keeps most other documents from being shuffled; what it lets
-    through wrongly goes in the join.
+    It keeps most other documents from being shuffled. What it lets through wrongly goes in a join; a
+    full table only saves less.
     """
     n = wanted.count()
     bits = min(MOST_FILTER_BITS, 1 << max(15, (16 * max(1, n)).bit_length()))
@@ -154,7 +155,12 @@ def _arrays(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     for row in table.toLocalIterator():  # bits / 8 bytes in all
         start = (row.bucket - 1) * 4096
         packed[start : start + 4096] |= np.frombuffer(row.bits, np.uint8)[: len(packed) - start]
-    shared = texts.sparkSession.sparkContext.broadcast(packed)
+    return bits, wanted.sparkSession.sparkContext.broadcast(packed)
+
+
+def _arrays(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of the wanted nodes, the array as bytes, once for each."""
+    bits, shared = bit_filter(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()

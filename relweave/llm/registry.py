@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, toxicity
+from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, substring_dedup, toxicity
 
 QUERIES = {
     "op1_language_id": (language_id.query, None),
@@ -10,5 +10,6 @@ QUERIES = {
     "op4_jaccard_join": (jaccard_join.query, jaccard_join.SQL),
     "op6_decontamination": (decontamination.query, decontamination.SQL),
     "op10_toxicity": (toxicity.query, None),
+    "op8_substring_dedup": (substring_dedup.query, None),
     "op9_exact_dedup": (exact_dedup.query, exact_dedup.SQL),
 }
