@@ -5,12 +5,12 @@ a shingle among the fifth of each that comes first in one global order (the pref
 puts shingles of crowded hash buckets last, by a table of fixed size counted over all documents. The
 documents that share such a shingle form a tile.
 
-A tile is not expanded into its pairs. In each of ``STAR_ROUNDS`` rounds every member is paired with one
-pivot of its tile; what links joins the pivot's component, which settles a tile of near copies in linear
-time. Only tiles that still hold several components are then joined in full, banded by size: members
-of another component, in the same or the next size band. Every pair first has to pass a bound from
-hashed bitmaps (bits set on one side only are elements that the other set lacks), then the exact
-intersection of the sorted arrays. No pair is skipped: the result is that of comparing all pairs, up to
+A tile is not expanded into its pairs. Every member is paired with one pivot of its tile; what links joins
+the pivot's component, which settles a tile of near copies in linear time; further rounds draw other
+pivots while tiles are large. Only tiles that still hold several components are then joined in full,
+banded by size: members of another component, in the same or the next size band. Every pair first has
+to pass a bound from hashed bitmaps (bits set on one side only are elements that the other set lacks),
+then the count of shared shingles in both prefixes, then the exact intersection of the sorted arrays. No pair is skipped: the result is that of comparing all pairs, up to
 collisions of 64-bit hashes (about one in 10^10 nodes).
 """
 
@@ -31,7 +31,8 @@ from relweave.llm.words import BETWEEN_SPACE, chunks, find_words, mix, runs_hash
 from relweave.session import materialise
 
 SHINGLE = 5
-STAR_ROUNDS = 2
+#: Tiles are joined in full once they hold at most so many pairs a member; before that, so many rounds of pivots at most.
+PAIRS_PER_ROW, MOST_ROUNDS = 16, 5
 ORDER_BITS = 18  # buckets of the order table
 BITMAP_LONGS = 8
 MOST_FILTER_BITS = 1 << 28
@@ -233,7 +234,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "root")
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id", rounds: int = STAR_ROUNDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """One row per input row: ``id``, ``n_shingles``, ``component_id``.
 
     Words are runs of other bytes than 20 and 09-0D after lower-casing A-Z. NULL, empty and wordless texts
@@ -252,9 +253,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id
     nodes = materialise(nodes, "jaccard-nodes")
 
     postings = _postings(texts, table)
-    shared = postings.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    tiles = materialise(postings.join(shared.select("shingle", "pivot"), "shingle"), "jaccard-tiles")
+    repeated = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    tiles = materialise(postings.join(repeated, "shingle").distinct(), "jaccard-tiles")
     _forget_shuffles(spark)
+    shared = tiles.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
+    members = tiles.join(shared.select("shingle", "pivot"), "shingle")
 
     one, two = nodes.drop("least_id").alias("one"), nodes.drop("least_id").alias("two")
 
@@ -262,27 +265,31 @@ def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id
         joined = pairs.join(one, F.col("a") == F.col("one.node")).join(two, F.col("b") == F.col("two.node"))
         return joined.where(may_link("one", "two")).select("a", "b")
 
-    tested = materialise(_ordered(tiles, "pivot", "node"), "jaccard-star")
-    links = _verify(texts, bounded(tested))
-    for round_ in range(1, rounds + 1):
+    tested = materialise(_ordered(members, "pivot", "node"), "jaccard-star")
+    links = _verify(texts, _dense_enough(bounded(tested), tiles, nodes))
+    for round_ in range(1, MOST_ROUNDS + 1):
         roots = components(links)
-        placed = tiles.select("shingle", "node").join(roots, "node", "left").select(
-            "shingle", "node", F.coalesce("root", "node").alias("root")
-        )
+        placed = tiles.join(roots, "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
         open_ = placed.groupBy("shingle").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"),
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
             F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("draw"), "node", "root")).alias("pivot"),
-        ).where("low < high").select("shingle", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
-        tiles = materialise(placed.join(open_, "shingle"), "jaccard-tiles")
-        if tiles.isEmpty():
+        ).where("low < high")
+        open_ = materialise(
+            open_.select("shingle", "size", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root")), "jaccard-open"
+        )
+        members = placed.join(open_, "shingle")
+        n_members, n_pairs = open_.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1) / 2)).first()
+        if not n_members:
             break
-        if round_ < rounds:
-            fresh = _ordered(tiles.where("root <> pivot_root"), "pivot", "node").join(tested, ["a", "b"], "left_anti")
-            tested = materialise(tested.union(fresh), "jaccard-star")
-            links = links.union(_verify(texts, bounded(fresh)))
+        if round_ < MOST_ROUNDS and n_pairs > PAIRS_PER_ROW * n_members:  # only how, not what: pivots settle more first
+            fresh = _ordered(members.where("root <> pivot_root"), "pivot", "node").join(tested, ["a", "b"], "left_anti")
+            fresh = materialise(fresh, "jaccard-star")
+            tested = tested.union(fresh)
+            links = links.union(_verify(texts, _dense_enough(bounded(fresh), tiles, nodes)))
         else:
-            links = links.union(_verify(texts, _open_pairs(tiles, nodes).join(tested, ["a", "b"], "left_anti")))
+            links = links.union(_verify(texts, _open_pairs(members, nodes).join(tested, ["a", "b"], "left_anti")))
             roots = components(links)
+            break
     named = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     labelled = named.join(names, "root").select("node", "component_id")
@@ -295,16 +302,43 @@ def _ordered(rows: DataFrame, x: str, y: str) -> DataFrame:
     return rows.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def _open_pairs(tiles: DataFrame, nodes: DataFrame) -> DataFrame:
+def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of different components within a tile, in the same or the next size band, that may link."""
     band = F.floor(F.log(F.col("n")) / float(np.log(1.25)) + 1e-9).cast("int")
-    member = tiles.select("shingle", "node", "root").join(nodes.drop("least_id").withColumn("band", band), "node")
+    member = members.select("shingle", "node", "root").join(nodes.drop("least_id").withColumn("band", band), "node")
     left = member.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("one")
     right = member.alias("two")
     same_tile = (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.band") == F.col("two.band"))
     apart = (F.col("one.root") != F.col("two.root")) & (F.col("one.node") < F.col("two.node"))
     joined = left.join(right, same_tile & apart & may_link("one", "two"))
-    return joined.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
+    counted = joined.groupBy(F.col("one.node").alias("a"), F.col("two.node").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.first("one.n").alias("na"), F.first("two.n").alias("nb")
+    )
+    return counted.where(_enough_shared()).select("a", "b")
+
+
+def _enough_shared() -> Column:
+    """The prefixes of a pair that links share as many shingles as its overlap leaves beyond both rests.
+
+    An overlap of o needs o - (n - p) of them in the prefix of length p; a prefix leaves ceil(4n/5) - 1.
+    """
+    overlap = F.ceil(4 * (F.col("na") + F.col("nb")) / 9)
+
+    def beyond(n: str) -> Column:
+        return overlap - F.ceil(4 * F.col(n) / 5) + 1
+
+    return F.col("shared") >= F.greatest(beyond("na"), beyond("nb"))
+
+
+def _dense_enough(pairs: DataFrame, tiles: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose prefixes share enough shingles."""
+    of_a = pairs.join(tiles.select(F.col("node").alias("a"), "shingle"), "a")
+    both = of_a.join(tiles.select(F.col("node").alias("b"), "shingle"), ["b", "shingle"])
+    counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = nodes.select("node", "n")
+    counted = counted.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+    counted = counted.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    return counted.where(_enough_shared()).select("a", "b")
 
 
 def _forget_shuffles(spark) -> None:

@@ -25,7 +25,7 @@ MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 3_000, 9_000, 1 << 20
 LEAST_DOCUMENTS, LEAST_Z = 3, 4.0
 EPOCHS, RATE, DECAY = 250, 0.15, 1e-4
 PREFIX_BYTES = (4, 5, 6, 8)
-_FILTER_BITS = 18
+_FILTER_BITS, _SCREEN_BITS = 18, 23
 _ENDS = np.array([b in b".!?\n" for b in range(256)])
 
 
@@ -101,11 +101,34 @@ class Model:
         return noisy_or / (noisy_or + np.exp(self.boundary)), 1 / (1 + np.exp(-z)), first
 
 
+def _telling(in_docs: np.ndarray, in_toxic: np.ndarray, rate: float) -> np.ndarray:
+    """Features clearly more common in toxic documents than their share of the sample."""
+    z = (in_toxic - rate * in_docs) / np.sqrt(np.maximum(rate * (1 - rate) * in_docs, 1e-9))
+    return (in_docs >= LEAST_DOCUMENTS) & (z > LEAST_Z)
+
+
+def _promising(texts: Sequence[bytes | None], y: np.ndarray) -> np.ndarray:
+    """Buckets of features that may be telling, from counts in a table of fixed size."""
+    in_docs, in_toxic = np.zeros(1 << _SCREEN_BITS, np.int32), np.zeros(1 << _SCREEN_BITS, np.int32)
+    for a, b in chunks(texts):
+        found = find_words(texts[a:b], LETTERS_DIGITS)
+        doc = found.text_of()
+        pairs = np.unique(np.concatenate([
+            doc[words] << _SCREEN_BITS | (values >> np.uint64(64 - _SCREEN_BITS)).astype(np.int64)
+            for words, values in features(found)
+        ]))
+        bucket = pairs & (1 << _SCREEN_BITS) - 1
+        np.add.at(in_docs, bucket, 1)
+        np.add.at(in_toxic, bucket[y[a + (pairs >> _SCREEN_BITS)] > 0], 1)
+    return _telling(in_docs, in_toxic, y.mean())
+
+
 def train(texts: Sequence[bytes | None], toxic: Sequence[int]) -> Model:
     """Fit the model to document labels. Without both classes it knows no feature and calls all clean."""
     y = np.asarray(toxic, float)
     if not 0 < y.sum() < len(y):
         return Model(np.empty(0, np.uint64), np.empty(0), -20.0)
+    promising = _promising(texts, y)
     parts, n_sentences, doc_of_sentence = [], 0, []
     for a, b in chunks(texts):
         found = find_words(texts[a:b], LETTERS_DIGITS)
@@ -113,7 +136,8 @@ def train(texts: Sequence[bytes | None], toxic: Sequence[int]) -> Model:
         doc = found.text_of() + a
         doc_of_sentence.append(doc[first])
         for words, values in features(found):
-            parts.append((values, sentence[words] + n_sentences, doc[words]))
+            kept = np.flatnonzero(promising[values >> np.uint64(64 - _SCREEN_BITS)])
+            parts.append((values[kept], sentence[words[kept]] + n_sentences, doc[words[kept]]))
         n_sentences += len(first)
     values, sentence, doc = (np.concatenate(x) for x in zip(*parts))
     doc_of_sentence = np.concatenate(doc_of_sentence)
@@ -123,9 +147,7 @@ def train(texts: Sequence[bytes | None], toxic: Sequence[int]) -> Model:
     pairs = np.unique(number.astype(np.int64) * len(y) + doc)
     in_docs = np.bincount(pairs // len(y), minlength=len(hashes))
     in_toxic = np.bincount(pairs // len(y), y[pairs % len(y)], len(hashes))
-    rate = y.mean()
-    z = (in_toxic - rate * in_docs) / np.sqrt(np.maximum(rate * (1 - rate) * in_docs, 1e-9))
-    chosen = np.flatnonzero((in_docs >= LEAST_DOCUMENTS) & (z > LEAST_Z))
+    chosen = np.flatnonzero(_telling(in_docs, in_toxic, y.mean()))
     compact = np.full(len(hashes), -1)
     compact[chosen] = np.arange(len(chosen))
     column = compact[number]
