@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, substring_dedup, toxicity
+import corpus_pipeline
+from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, personal_data, substring_dedup, toxicity
 
 QUERIES = {
     "op1_language_id": (language_id.query, None),
@@ -10,6 +11,8 @@ QUERIES = {
     "op4_jaccard_join": (jaccard_join.query, jaccard_join.SQL),
     "op6_decontamination": (decontamination.query, decontamination.SQL),
     "op10_toxicity": (toxicity.query, None),
+    "op7_personal_data": (personal_data.query, None),
     "op8_substring_dedup": (substring_dedup.query, None),
     "op9_exact_dedup": (exact_dedup.query, exact_dedup.SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
