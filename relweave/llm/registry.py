@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, personal_data, substring_dedup, toxicity
+from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, license_scan, personal_data, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": (language_id.query, None),
     "op2_byte_bpe": (byte_bpe.query, None),
+    "op3_url_filter": (url_filter.query, url_filter.SQL),
     "op4_jaccard_join": (jaccard_join.query, jaccard_join.SQL),
+    "op5_license_scan": (license_scan.query, None),
     "op6_decontamination": (decontamination.query, decontamination.SQL),
     "op10_toxicity": (toxicity.query, None),
     "op7_personal_data": (personal_data.query, None),
