@@ -318,16 +318,17 @@ def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _enough_shared() -> Column:
-    """The prefixes of a pair that links share as many shingles as its overlap leaves beyond both rests.
+    """The prefixes of a pair that links share as many shingles as its overlap leaves beyond the longer rest.
 
-    An overlap of o needs o - (n - p) of them in the prefix of length p; a prefix leaves ceil(4n/5) - 1.
+    What is common comes in one order, so what lies outside either prefix is no more than the longer of
+    both rests; a prefix leaves ceil(4n/5) - 1.
     """
     overlap = F.ceil(4 * (F.col("na") + F.col("nb")) / 9)
 
     def beyond(n: str) -> Column:
         return overlap - F.ceil(4 * F.col(n) / 5) + 1
 
-    return F.col("shared") >= F.greatest(beyond("na"), beyond("nb"))
+    return F.col("shared") >= F.least(beyond("na"), beyond("nb"))
 
 
 def _dense_enough(pairs: DataFrame, tiles: DataFrame, nodes: DataFrame) -> DataFrame:
