@@ -192,14 +192,18 @@ def train(texts: Sequence[bytes], languages: Sequence[str], steps: int = STEPS,
     m, v = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, steps + 1):
         language = rng.integers(0, len(names), BATCH)
-        data = np.zeros((SEGMENT, BATCH), np.uint8)
+        data = np.zeros((SEGMENT + 2 * WARM, BATCH), np.uint8)
+        weight = np.zeros(data.shape, np.float32)
         for k, own in enumerate(language.tolist()):
             text = groups[own][int(rng.integers(0, len(groups[own])))]
-            size = SEGMENT if rng.random() < 0.6 else int(rng.integers(4, SEGMENT))  # short texts exist as well
+            around = WARM if rng.random() < 0.6 else 0  # a segment of a text, or a short text of its own
+            size = SEGMENT if around else int(rng.integers(4, SEGMENT))
             start = 0 if rng.random() < 0.3 else int(rng.integers(0, max(1, len(text) - size + 1)))
-            piece = np.frombuffer(text[start : start + size], np.uint8)
-            data[: len(piece), k] = piece
-        _, slopes = network.gradients(data, language, _LETTER[data].astype(np.float32))
+            before = min(around, start)
+            piece = np.frombuffer(text[start - before : start + size + around], np.uint8)
+            data[WARM - before : WARM - before + len(piece), k] = piece
+        weight[WARM : WARM + SEGMENT] = _LETTER[data[WARM : WARM + SEGMENT]]
+        _, slopes = network.gradients(data, language, weight)
         rate = RATE * min(1.0, 2 * (1 - (step - 1) / steps))
         for w, g, a, b in zip(weights, slopes, m, v):
             a += 0.1 * (g - a)
