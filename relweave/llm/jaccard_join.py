@@ -6,9 +6,9 @@ puts shingles of crowded hash buckets last, by a table of fixed size counted ove
 documents that share such a shingle form a tile.
 
 A tile is not expanded into its pairs. Every member is paired with one pivot of its tile; what links joins
-the pivot's component, which settles a tile of near copies in linear time; further rounds draw other
-pivots while tiles are large. Only tiles that still hold several components are then joined in full,
-banded by size: members of another component, in the same or the next size band. Every pair first has
+the pivot's component, which settles a tile of near copies in linear time. Only tiles that still hold
+several components are then joined, banded by size: the members of other components than the largest,
+with members of another component in the same or the next size band. Every pair first has
 to pass a bound from hashed bitmaps (bits set on one side only are elements that the other set lacks),
 then the count of shared shingles in both prefixes, then the exact intersection of the sorted arrays. No pair is skipped: the result is that of comparing all pairs, up to
 collisions of 64-bit hashes (about one in 10^10 nodes).
@@ -31,8 +31,7 @@ from relweave.llm.words import BETWEEN_SPACE, chunks, find_words, mix, runs_hash
 from relweave.session import materialise
 
 SHINGLE = 5
-#: Tiles are joined in full once they hold at most so many pairs a member; before that, so many rounds of pivots at most.
-PAIRS_PER_ROW, MOST_ROUNDS = 16, 5
+LARGE_TILE = 64
 ORDER_BITS = 18  # buckets of the order table
 BITMAP_LONGS = 8
 MOST_FILTER_BITS = 1 << 28
@@ -217,21 +216,32 @@ def _verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node with a link (a, b); the root is the smallest node of the component.
 
-    Smallest label of the neighbours, then the label of that label, until nothing changes. Minima combine
-    map-side, so a node with very many links is no hot group.
+    Every node moves to its smallest neighbour or stays, then to where that one went; links between moved
+    nodes that are still apart go on to the next round. Minima combine map-side, so a node with very many
+    links is no hot group.
     """
-    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b"), F.col("a")))
-    first = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root"))
-    labels = materialise(first, "labels")
+    none = links.sparkSession.createDataFrame([], "node long, root long")
+    roots, edges = none, links.select("a", "b")
     while True:
-        near = both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("root").alias("near"))
-        lower = labels.join(near, labels.node == near.u).select("node", "root", F.least("root", "near").alias("next"))
-        lower = materialise(lower, "labels")
-        jump = lower.select(F.col("node").alias("next"), F.col("next").alias("jumped"))
-        moved = (F.col("jumped") != F.col("root")).alias("moved")
-        labels = materialise(lower.join(jump, "next").select("node", F.col("jumped").alias("root"), moved), "labels")
-        if labels.where("moved").isEmpty():
-            return labels.select("node", "root")
+        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+        parent = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root"))
+        parent = materialise(_few_files(parent), "parents")
+        above = parent.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        parent = parent.join(above, "root").select("node", F.col("next").alias("root"))
+        step = parent.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        moved = roots.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        new = parent.join(roots, "node", "left_anti")
+        roots = materialise(_few_files(moved.unionByName(new)), "roots")
+        of_a, of_b = (parent.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+        rest = edges.join(of_a, "a").join(of_b, "b").where("ra <> rb")
+        edges = materialise(_few_files(rest.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()), "edges")
+        if edges.isEmpty():
+            return roots
+
+
+def _few_files(df: DataFrame) -> DataFrame:
+    """The rows for writing in a quarter of the tasks: tables of links are far smaller than what they come from."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
@@ -265,31 +275,20 @@ def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id
         joined = pairs.join(one, F.col("a") == F.col("one.node")).join(two, F.col("b") == F.col("two.node"))
         return joined.where(may_link("one", "two")).select("a", "b")
 
+    lists = tiles.groupBy("node").agg(F.collect_list("shingle").alias("in_tiles")).join(nodes.select("node", "n"), "node")
+    lists = materialise(lists, "jaccard-lists")
     tested = materialise(_ordered(members, "pivot", "node"), "jaccard-star")
-    links = _verify(texts, _dense_enough(bounded(tested), tiles, nodes))
-    for round_ in range(1, MOST_ROUNDS + 1):
-        roots = components(links)
-        placed = tiles.join(roots, "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
-        open_ = placed.groupBy("shingle").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
-            F.min(F.struct(F.xxhash64("node", F.lit(round_)).alias("draw"), "node", "root")).alias("pivot"),
-        ).where("low < high")
-        open_ = materialise(
-            open_.select("shingle", "size", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root")), "jaccard-open"
-        )
-        members = placed.join(open_, "shingle")
-        n_members, n_pairs = open_.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1) / 2)).first()
-        if not n_members:
-            break
-        if round_ < MOST_ROUNDS and n_pairs > PAIRS_PER_ROW * n_members:  # only how, not what: pivots settle more first
-            fresh = _ordered(members.where("root <> pivot_root"), "pivot", "node").join(tested, ["a", "b"], "left_anti")
-            fresh = materialise(fresh, "jaccard-star")
-            tested = tested.union(fresh)
-            links = links.union(_verify(texts, _dense_enough(bounded(fresh), tiles, nodes)))
-        else:
-            links = links.union(_verify(texts, _open_pairs(members, nodes).join(tested, ["a", "b"], "left_anti")))
-            roots = components(links)
-            break
+    links = _verify(texts, _dense_enough(bounded(tested), lists))
+
+    placed = tiles.join(components(links), "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
+    open_ = placed.groupBy("shingle").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
+        F.min(F.struct(F.xxhash64("node").alias("draw"), "root")).alias("settled"),
+    ).where("low < high").select("shingle", "size", F.col("settled.root").alias("settled"))
+    members = materialise(placed.join(open_, "shingle"), "jaccard-open")
+    pairs = _open_pairs(members, nodes).join(tested, ["a", "b"], "left_anti")
+    links = links.union(_verify(texts, _dense_enough(pairs, lists)))
+    roots = components(links)
     named = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     labelled = named.join(names, "root").select("node", "component_id")
@@ -303,18 +302,27 @@ def _ordered(rows: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components within a tile, in the same or the next size band, that may link."""
+    """Pairs of different components within a tile, in the same or the next size band, that may link.
+
+    One side is the members outside the component of a drawn member, which usually is nearly all of a
+    large tile. In tiles of more than ``LARGE_TILE`` members a pair comes out only in the first large
+    tile that both share, so that near copies with many tiles in common are not repeated for each.
+    """
     band = F.floor(F.log(F.col("n")) / float(np.log(1.25)) + 1e-9).cast("int")
-    member = members.select("shingle", "node", "root").join(nodes.drop("least_id").withColumn("band", band), "node")
-    left = member.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("one")
+    large = members.where(F.col("size") > LARGE_TILE).groupBy("node").agg(F.collect_list("shingle").alias("large"))
+    member = members.join(large, "node", "left").join(nodes.drop("least_id").withColumn("band", band), "node")
+    member = member.withColumn("large", F.when(F.col("size") > LARGE_TILE, F.col("large")))
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    left = member.where("root <> settled").withColumn("band", near).alias("one")
     right = member.alias("two")
     same_tile = (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.band") == F.col("two.band"))
-    apart = (F.col("one.root") != F.col("two.root")) & (F.col("one.node") < F.col("two.node"))
-    joined = left.join(right, same_tile & apart & may_link("one", "two"))
-    counted = joined.groupBy(F.col("one.node").alias("a"), F.col("two.node").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first("one.n").alias("na"), F.first("two.n").alias("nb")
+    once = (F.col("two.root") == F.col("two.settled")) | (F.col("one.node") < F.col("two.node"))
+    apart = (F.col("one.root") != F.col("two.root")) & once
+    first = F.col("one.large").isNull() | (
+        F.array_min(F.array_intersect("one.large", "two.large")) == F.col("one.shingle")
     )
-    return counted.where(_enough_shared()).select("a", "b")
+    joined = left.join(right, same_tile & apart & may_link("one", "two") & first)
+    return joined.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
 
 
 def _enough_shared() -> Column:
@@ -331,15 +339,12 @@ def _enough_shared() -> Column:
     return F.col("shared") >= F.least(beyond("na"), beyond("nb"))
 
 
-def _dense_enough(pairs: DataFrame, tiles: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose prefixes share enough shingles."""
-    of_a = pairs.join(tiles.select(F.col("node").alias("a"), "shingle"), "a")
-    both = of_a.join(tiles.select(F.col("node").alias("b"), "shingle"), ["b", "shingle"])
-    counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    sizes = nodes.select("node", "n")
-    counted = counted.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-    counted = counted.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    return counted.where(_enough_shared()).select("a", "b")
+def _dense_enough(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The pairs whose prefixes share enough shingles; a node's list is no longer than its own prefix."""
+    one = lists.select(F.col("node").alias("a"), F.col("in_tiles").alias("x"), F.col("n").alias("na"))
+    two = lists.select(F.col("node").alias("b"), F.col("in_tiles").alias("y"), F.col("n").alias("nb"))
+    both = pairs.join(one, "a").join(two, "b")
+    return both.withColumn("shared", F.size(F.array_intersect("x", "y"))).where(_enough_shared()).select("a", "b")
 
 
 def _forget_shuffles(spark) -> None:

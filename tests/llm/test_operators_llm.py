@@ -129,8 +129,8 @@ def test_components_equal_all_pairs(spark, seed):
     assert components_of(documents(spark, texts)) == brute_components(list(enumerate(texts)))
 
 
-def test_components_with_pivots_only_first(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "PAIRS_PER_ROW", 0)  # draws pivots until the last round
+def test_components_with_every_tile_large(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LARGE_TILE", 1)
     texts = near_copies(3)
     assert components_of(documents(spark, texts)) == brute_components(list(enumerate(texts)))
 
@@ -142,6 +142,23 @@ def test_components_of_edge_cases(spark, edge, empty):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
 
 
+def test_roots_of_paths_stars_and_rings(spark):
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(300 + i, 250) for i in range(20)] + [(400 + i, 400 + (i + 1) % 9) for i in range(9)]
+    edges += [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)]
+    edges = [(min(e), max(e)) for e in edges if e[0] != e[1]]
+    least = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(least[a], least[b])
+            changed |= (least[a], least[b]) != (low, low)
+            least[a] = least[b] = low
+    frame = spark.createDataFrame(edges, "a long, b long")
+    assert {r.node: r.root for r in jaccard_join.components(frame).collect()} == least
+
+
 # decontamination
 
 ITEM = prose(25, 77)
