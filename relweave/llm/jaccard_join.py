@@ -5,13 +5,14 @@ a shingle among the fifth of each that comes first in one global order (the pref
 puts shingles of crowded hash buckets last, by a table of fixed size counted over all documents. The
 documents that share such a shingle form a tile.
 
-A tile is not expanded into its pairs. Every member is paired with one pivot of its tile; what links joins
-the pivot's component, which settles a tile of near copies in linear time. Only tiles that still hold
-several components are then joined, banded by size: the members of other components than the largest,
-with members of another component in the same or the next size band. Every pair first has
-to pass a bound from hashed bitmaps (bits set on one side only are elements that the other set lacks),
-then the count of shared shingles in both prefixes, then the exact intersection of the sorted arrays. No pair is skipped: the result is that of comparing all pairs, up to
-collisions of 64-bit hashes (about one in 10^10 nodes).
+A tile is not expanded into its pairs. Every member is paired with one pivot of each tile, and then with
+``PIVOTS`` drawn members of its largest open tile; what links joins the pivot's component, which settles
+a tile of near copies in linear time. Only tiles that still hold several components are then joined,
+banded by size: the members outside a drawn member's component, with members of another component in
+the same or the next size band. Every pair first has to pass a bound from hashed bitmaps (bits set on
+one side only are elements that the other set lacks), then the count of shared shingles in both
+prefixes, then the exact intersection of the sorted arrays. No pair is skipped: the
+result is that of comparing all pairs, up to collisions of 64-bit hashes (about one in 10^10 nodes).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relweave.llm.exact_dedup import quoted
@@ -31,7 +32,7 @@ from relweave.llm.words import BETWEEN_SPACE, chunks, find_words, mix, runs_hash
 from relweave.session import materialise
 
 SHINGLE = 5
-LARGE_TILE = 64
+LARGE_TILE, PIVOTS = 64, 32
 ORDER_BITS = 18  # buckets of the order table
 BITMAP_LONGS = 8
 MOST_FILTER_BITS = 1 << 28
@@ -280,12 +281,21 @@ def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id
     tested = materialise(_ordered(members, "pivot", "node"), "jaccard-star")
     links = _verify(texts, _dense_enough(bounded(tested), lists))
 
-    placed = tiles.join(components(links), "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("shingle").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
-        F.min(F.struct(F.xxhash64("node").alias("draw"), "root")).alias("settled"),
-    ).where("low < high").select("shingle", "size", F.col("settled.root").alias("settled"))
-    members = materialise(placed.join(open_, "shingle"), "jaccard-open")
+    for last in (False, True):
+        placed = tiles.join(components(links), "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
+        open_ = placed.groupBy("shingle").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
+            F.min(F.struct(F.xxhash64("node").alias("draw"), "root")).alias("drawn"),
+        ).where("low < high")
+        open_ = open_.select("shingle", "size", F.col("drawn.root").alias("settled"))
+        members = placed.join(open_, "shingle")
+        if not last:  # further pivots join most of what a first one has left apart
+            members = materialise(members, "jaccard-open")
+            fresh = _ordered(_to_pivots(members), "pivot", "node")
+            fresh = materialise(fresh.join(tested, ["a", "b"], "left_anti"), "jaccard-star")
+            tested = tested.union(fresh)
+            links = links.union(_verify(texts, _dense_enough(bounded(fresh), lists)))
+    members = materialise(members, "jaccard-open")
     pairs = _open_pairs(members, nodes).join(tested, ["a", "b"], "left_anti")
     links = links.union(_verify(texts, _dense_enough(pairs, lists)))
     roots = components(links)
@@ -296,6 +306,15 @@ def jaccard_components(docs: DataFrame, text: str = "text", order: str = "doc_id
     return member.unionByName(rows.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
 
 
+def _to_pivots(members: DataFrame) -> DataFrame:
+    """Every member of an open tile with ``PIVOTS`` drawn members of its largest one, of other components."""
+    place = members.groupBy("node").agg(F.max(F.struct("size", "shingle")).alias("largest"), F.min("root").alias("root"))
+    draw = Window.partitionBy("shingle").orderBy(F.xxhash64("node"), "node")
+    drawn = members.withColumn("turn", F.row_number().over(draw)).where(F.col("turn") <= PIVOTS)
+    drawn = drawn.select("shingle", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    return place.select("node", "root", "largest.shingle").join(drawn, "shingle").where("root <> pivot_root")
+
+
 def _ordered(rows: DataFrame, x: str, y: str) -> DataFrame:
     """Distinct unequal pairs, the smaller node first."""
     return rows.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()

@@ -246,9 +246,25 @@ def score_documents(
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """``docs`` with its own columns, without the documents that score 0.5 or more."""
-    model = fit(docs, labels, text, order)
-    scored = score_documents(docs, model, text, docs.columns)
-    return scored.where("score < 0.5").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text, order))
+    place = docs.columns.index(text)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = score_texts(shared.value, batch.column(place).cast(pa.binary()).to_pylist())
+            yield batch.filter(pa.array(scores < 0.5))
+
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots do not pass mapInArrow
+    return plain.mapInArrow(clean, plain.schema).toDF(*docs.columns)
+
+
+def score_texts(model: Model, texts: Sequence[bytes | None]) -> np.ndarray:
+    scores = np.zeros(len(texts))
+    for a, b in chunks(texts):
+        found = find_words(texts[a:b], LETTERS_DIGITS)
+        if len(found.start):
+            scores[a:b] = model.score(found)[0]
+    return scores
 
 
 def query(spark, folder: str) -> DataFrame:
