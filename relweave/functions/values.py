@@ -62,8 +62,6 @@ def clean_int(col: Column | str) -> Column:
 # A quoted text, so that a pattern steps over whole texts and never matches inside one. The loops are
 # possessive: they run without recursion, so long texts cannot overflow the stack.
 QUOTED = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
-# Dictionary text exactly as Python prints a dictionary of plain keys and flags.
-PRINTED_FLAGS = r"^\{(?:'[^'\\]*+': (?:True|False|None)(?:, |(?=\})))*+\}$"
 JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true"}
 
 
@@ -90,31 +88,15 @@ def parse_flag_dict(col: Column | str) -> Column:
     return F.transform_values(entries, lambda _, value: _flag(value))
 
 
-def parse_flags(col: Column | str, keys: Sequence[str]) -> tuple[Column, Column]:
-    """Dictionary text in the two forms :func:`flag_of` reads: the text itself where Python could have
-    printed it, and a struct of the raw words of the wanted keys for every other text."""
-    c = as_column(col)
+def parse_flags(json: Column | str, keys: Sequence[str]) -> Column:
+    """The raw words of the wanted keys as a struct, from the text made by :func:`dict_text_to_json`."""
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys])
-    if not all(map(is_plain, keys)):
-        return F.lit(None).cast("string"), F.from_json(dict_text_to_json(c), schema, JSON_OPTIONS)
-    printed = c.rlike(PRINTED_FLAGS)
-    return F.when(printed, c), F.from_json(dict_text_to_json(F.when(~printed, c)), schema, JSON_OPTIONS)
-
-
-def flag_of(printed: Column, parsed: Column, key: str) -> Column:
-    """One boolean of :func:`parse_flags`. In printed text a plain key is found by its quotes, at a
-    fraction of the cost of parsing."""
-    word = parsed.getField(key)
-    is_true, is_false = word == "=True", word == "=False"
-    if is_plain(key):
-        is_true = is_true | F.contains(printed, F.lit(f"'{key}': True"))
-        is_false = is_false | F.contains(printed, F.lit(f"'{key}': False"))
-    return F.when(is_true, F.lit(True)).when(is_false, F.lit(False))
-
-
-def is_plain(key: str) -> bool:
-    """Letters, digits, underscores and hyphens only, so that it cannot span two quoted items."""
-    return re.fullmatch(r"[\w-]+", key) is not None
+    return F.from_json(as_column(json), schema, JSON_OPTIONS)
+
+
+def flag_of(words: Column, key: str) -> Column:
+    """One boolean of :func:`parse_flags`."""
+    return _flag(words.getField(key))
 
 
 def split_list(col: Column | str, protected: Sequence[str] = (), pattern: str = r",\s*") -> Column:

@@ -79,7 +79,7 @@ def join_inner_using(t: Tables) -> DataFrame:
 def join_salted(t: Tables) -> DataFrame:
     customers = t.customer.where("c_acctbal > 1000").selectExpr("c_custkey AS user_id", "c_mktsegment")
     events = t.events.select("event_id", "user_id")
-    return J.salted_lookup(events, customers, ["user_id"], ["c_mktsegment"], hot_rows=70, salts=8)
+    return J.salted_lookup(events, customers, ["user_id"], ["c_mktsegment"], hot_share=0.0001, salts=8)
 
 
 @query(

@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# joins whose result never holds a row of the dimension without a partner
+SALTED_JOINS = ("left", "inner", "left_semi", "left_anti")
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -54,22 +58,30 @@ def broadcast_within(df: DataFrame, bound: DataFrame) -> DataFrame:
 
 
 def salted_lookup(
-    df: DataFrame, dim: DataFrame, on: Sequence[str], take: Sequence[str], hot_rows: int, salts: int, how: str = "left"
+    df: DataFrame, dim: DataFrame, on: Sequence[str], take: Sequence[str], hot_share: float, salts: int, how: str = "left"
 ) -> DataFrame:
     """:func:`lookup` for a side with hot keys, where neither side can be broadcast.
 
-    Keys with more than ``hot_rows`` rows in ``df`` are spread over ``salts`` tasks and only their
-    rows of ``dim`` are repeated, so the cost of salting does not touch the ordinary keys. NULL keys
-    match nothing and are spread as well. The salt is a function of the row's content, so a task that
-    runs again sends each row to the same place. Costs one extra pass over the key columns of ``df``.
+    Keys with more than ``hot_share`` of the rows of ``df`` are spread over ``salts`` tasks and only their
+    rows of ``dim`` are repeated, so the cost of salting does not touch the ordinary keys. There are at
+    most ``1 / hot_share`` such keys, so their list is broadcast and the only shuffle of ``df`` is the one
+    by key and salt. NULL keys match nothing and are spread as well. The salt comes from the row's content
+    and its partition: equal rows of different partitions part, and a task that runs again sends each row
+    to the same place. Costs one extra pass over the key columns of ``df``. A repeated row of ``dim``
+    without a partner would come out once for each salt, so joins that keep those are refused.
     """
+    if how not in SALTED_JOINS:
+        raise ValueError(f"a salted lookup is one of {SALTED_JOINS}, not {how!r}")
+    if not 0 < hot_share <= 1:
+        raise ValueError("hot_share is a share of the rows, above 0")
     on = list(on)
     present = reduce(Column.__and__, [F.col(c).isNotNull() for c in on])
-    hot = (
-        df.where(present).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows).select(*on, F.lit(salts).alias("_salts"))
-    )  # at most rows/hot_rows keys
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    per_key = df.where(present).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    bound = per_key.agg(F.sum("_n") * hot_share).scalar()
+    hot = per_key.where(F.col("_n") > bound).select(*on, F.lit(salts).alias("_salts"))
+    hot = F.broadcast(hot)
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    spread = F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
     left = df.join(hot, on, "left").withColumn(
         "_salt", F.when(F.col("_salts").isNotNull() | ~present, spread).otherwise(F.lit(0))
     ).drop("_salts")

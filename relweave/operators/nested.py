@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 
 from relweave.functions.values import JSON_OPTIONS, as_column, dict_text_to_json, flag_of, parse_flags
 
-# More distinct keys than this means the column is data, not a set of attributes.
-KEY_LIMIT = 5_000
-
 
 def expand_struct(df: DataFrame, struct: str, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns followed by every field of ``struct``."""
@@ -27,12 +24,35 @@ def split_structs(df: DataFrame, structs: Sequence[str], fields: Sequence[str])
     return df.select(*kept, *flat)
 
 
-def bounded_values(df: DataFrame, column: str, limit: int = KEY_LIMIT) -> list:
-    """Sorted distinct non-NULL values for use as column names; fails when there are too many."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values; declare the ones to use")
-    return sorted(row[0] for row in rows)
+def quoted(name: str) -> Column:
+    """A column by its literal name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def map_long(df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns with ``key`` and ``value`` of every map entry, for any number of keys."""
+    return df.select(*map(quoted, keep), F.explode(quoted(column)).alias("key", "value"))
+
+
+def distinct_keys(df: DataFrame, column: str) -> DataFrame:
+    """``key, n_rows`` of a map column: the keys there are and how many rows have each."""
+    return map_long(df, column, []).groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def undeclared_keys(df: DataFrame, column: str, declared: Sequence[str]) -> DataFrame:
+    """``key, n_rows`` of the keys that a wide output of the ``declared`` ones leaves out."""
+    return distinct_keys(df, column).where(~F.col("key").isin(*declared)) if declared else distinct_keys(df, column)
+
+
+def undeclared_values(df: DataFrame, column: str, declared: Sequence[str]) -> DataFrame:
+    """``key, n_rows`` of the values that a pivot over the ``declared`` ones leaves out."""
+    rest = df.where(quoted(column).isNotNull() & ~quoted(column).isin(*declared))
+    return rest.groupBy(quoted(column).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _sorted_keys(keys: DataFrame) -> list:
+    """The keys as column names: as many as the wide output has columns."""
+    return sorted(row.key for row in keys.select("key").collect())
 
 
 def column_name_for(prefix: str, key: str) -> str:
@@ -45,7 +65,7 @@ def map_to_columns(df: DataFrame, column: str, keys: Sequence[str] | None = None
     Declared keys keep the call lazy; otherwise one job finds the sorted distinct keys.
     """
     if keys is None:
-        keys = bounded_values(df.select(F.explode(F.map_keys(column)).alias("key")), "key")
+        keys = _sorted_keys(distinct_keys(df, column))
     others = [F.col(c) for c in df.columns if c != column]
     return df.select(*others, *[F.col(column)[k].alias(column_name_for(column, k)) for k in keys])
 
@@ -56,23 +76,20 @@ def flag_dicts_to_columns(df: DataFrame, columns: Mapping[str, Sequence[str] | N
     One malformed value nulls its own flag only, where reading a map of booleans would lose the whole
     dictionary.
     """
-    keys = {c: (_keys_in_text(df, c) if k is None else list(k)) for c, k in columns.items()}
+    keys = {c: (_sorted_keys(keys_in_text(df, c)) if k is None else list(k)) for c, k in columns.items()}
     others = [F.col(c) for c in df.columns if c not in keys]
-    forms = {c: parse_flags(c, k) for c, k in keys.items()}
-    parsed = df.select(
-        *others, *[form.alias(f"_{kind}_{c}") for c, pair in forms.items() for kind, form in zip(("text", "words"), pair)]
-    )
-    flags = [
-        flag_of(F.col(f"_text_{c}"), F.col(f"_words_{c}"), k).alias(column_name_for(c, k))
-        for c, wanted in keys.items() for k in wanted
-    ]
+    # two projections: the text is rewritten once, however many of its words are read afterwards
+    text = df.select(*others, *[dict_text_to_json(c).alias(c) for c in keys])
+    parsed = text.select(*others, *[parse_flags(c, k).alias(c) for c, k in keys.items()])
+    flags = [flag_of(F.col(c), k).alias(column_name_for(c, k)) for c, wanted in keys.items() for k in wanted]
     return parsed.select(*others, *flags)
 
 
-def _keys_in_text(df: DataFrame, column: str) -> list[str]:
+def keys_in_text(df: DataFrame, column: str) -> DataFrame:
+    """``key, n_rows`` of dictionary text."""
     # a map of strings accepts any value, so a malformed one cannot hide the other keys
     as_map = F.from_json(dict_text_to_json(column), T.MapType(T.StringType(), T.StringType()), JSON_OPTIONS)
-    return bounded_values(df.select(F.explode(F.map_keys(as_map)).alias("key")), "key")
+    return distinct_keys(df.select(as_map.alias("entries")), "entries")
 
 
 def explode_array(df: DataFrame, column: Column | str, into: str, keep: Sequence[str], outer: bool = False) -> DataFrame:

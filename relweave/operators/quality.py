@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relweave.operators.nested import quoted
 from relweave.operators.joins import orphans
 from relweave.operators.spec import TableSpec
 
@@ -181,11 +182,11 @@ def length_violations(df: DataFrame, bounds: Mapping[str, int] | TableSpec) -> D
     """``column, bound, max_length, passed`` for every bounded text column, in one pass."""
     if isinstance(bounds, TableSpec):
         bounds = {c.name: c.max_length for c in bounds.columns if c.max_length is not None}
-    longest = df.agg(*[F.max(F.length(c)).alias(c) for c in bounds])
+    longest = df.agg(*[F.max(F.length(quoted(c))).alias(c) for c in bounds])
     rows = [
         F.struct(
-            F.lit(c).alias("column"), F.lit(bound).alias("bound"), F.col(c).alias("max_length"),
-            F.coalesce(F.col(c) <= bound, F.lit(True)).alias("passed"),
+            F.lit(c).alias("column"), F.lit(bound).alias("bound"), quoted(c).alias("max_length"),
+            F.coalesce(quoted(c) <= bound, F.lit(True)).alias("passed"),
         )
         for c, bound in bounds.items()
     ]
@@ -195,16 +196,16 @@ def length_violations(df: DataFrame, bounds: Mapping[str, int] | TableSpec) -> D
 def profile_nulls(df: DataFrame) -> DataFrame:
     """``column, n_rows, n_nulls`` for every column, in one pass."""
     summary = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(quoted(c).isNull()).alias(c) for c in df.columns]
     )
-    long = summary.unpivot(["_rows"], df.columns, "column", "n_nulls")
+    long = summary.unpivot(["_rows"], list(map(quoted, df.columns)), "column", "n_nulls")
     return long.select("column", F.col("_rows").alias("n_rows"), "n_nulls")
 
 
 def profile_lengths(df: DataFrame) -> DataFrame:
     """``column, max_length`` for every text column, in one pass."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.agg(*[F.max(F.length(c)).alias(c) for c in texts]).unpivot([], texts, "column", "max_length")
+    return df.agg(*[F.max(F.length(quoted(c))).alias(c) for c in texts]).unpivot([], list(map(quoted, texts)), "column", "max_length")
 
 
 def describe(df: DataFrame) -> DataFrame:
@@ -212,9 +213,9 @@ def describe(df: DataFrame) -> DataFrame:
     kinds = [(f.name, f.dataType.simpleString(), isinstance(f.dataType, T.StringType)) for f in df.schema]
     aggregates = [F.count(F.lit(1)).alias("_rows")]
     for i, (name, _, is_text) in enumerate(kinds):
-        aggregates.append(F.count_if(F.col(name).isNull()).alias(f"_nulls{i}"))
+        aggregates.append(F.count_if(quoted(name).isNull()).alias(f"_nulls{i}"))
         if is_text:
-            aggregates.append(F.max(F.length(name)).alias(f"_length{i}"))
+            aggregates.append(F.max(F.length(quoted(name))).alias(f"_length{i}"))
     rows = [
         F.struct(
             F.lit(name).alias("column"), F.lit(kind).alias("type"), F.col("_rows").alias("n_rows"),

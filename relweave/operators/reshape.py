@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relweave.operators.aggregate import mean, mode_per_group
-from relweave.operators.nested import bounded_values
-
-# Above this width one aggregate with a buffer per series no longer fits generated code.
-WIDE_AGGREGATE_LIMIT = 40
+from relweave.operators.nested import quoted
 
 
 def others(df: DataFrame, *excluded: str) -> list[str]:
@@ -32,19 +29,20 @@ def pivot_max(
 ) -> DataFrame:
     """One column per key holding the largest value; groups by all other columns unless told.
 
-    Columns come out in name order. Declared ``values`` keep the call lazy.
+    Columns come out in name order. Declared ``values`` keep the call lazy; without them Spark finds all
+    of them in the data.
     """
     by = others(df, key, value) if by is None else list(by)
-    if values is None:
-        values = bounded_values(df, key)
-    return sorted_columns(df.groupBy(*by).pivot(key, list(values)).agg(F.max(value)))
+    given = df if values is not None else df.where(quoted(key).isNotNull())
+    pivoted = given.groupBy(*map(quoted, by)).pivot(key, None if values is None else list(values))
+    return sorted_columns(pivoted.agg(F.max(quoted(value))))
 
 
 def unpivot(
     df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str, keep_nulls: bool = True
 ) -> DataFrame:
     """Columns to rows in a single scan."""
-    long = df.unpivot(list(ids), list(columns), name, value)
+    long = df.unpivot(list(map(quoted, ids)), list(map(quoted, columns)), name, value)
     return long if keep_nulls else long.where(F.col(value).isNotNull())
 
 
@@ -53,14 +51,10 @@ def series_mean(
 ) -> DataFrame:
     """Daily mean of each series as rows ``(day, name, value)``; NULL readings are skipped.
 
-    Aggregating while still wide shuffles one row per day and task instead of one per reading, so
-    the turn into rows happens on the already reduced result.
+    One plan at every width: columns become rows in the scan, and the rows of a day and series combine
+    map-side, so one row for each of them and task is shuffled.
     """
-    columns = list(columns)
-    if len(columns) <= WIDE_AGGREGATE_LIMIT:
-        daily = df.groupBy(day).agg(*[mean(c, scale).alias(c) for c in columns])
-        return unpivot(daily, [day], columns, name, value)
-    long = unpivot(df.select(day, *columns), [day], columns, name, value)
+    long = unpivot(df.select(quoted(day), *map(quoted, columns)), [day], list(columns), name, value)
     return long.groupBy(day, name).agg(mean(value, scale).alias(value))
 
 
@@ -68,5 +62,5 @@ def series_mode(
     df: DataFrame, day: str, columns: Sequence[str], name: str, value: str, ignore_nulls: bool = True
 ) -> DataFrame:
     """Most frequent daily value of each series as rows ``(day, name, value)``."""
-    long = unpivot(df.select(day, *columns), [day], list(columns), name, value)
+    long = unpivot(df.select(quoted(day), *map(quoted, columns)), [day], list(columns), name, value)
     return mode_per_group(long, [day, name], value, ignore_nulls=ignore_nulls)

@@ -67,20 +67,20 @@ def weather_at_review(
     addresses: DataFrame,
     city_weather: DataFrame,
     columns: Sequence[str] = ("review_id", "business_id", "ts"),
-    hot_rows: int | None = None,
+    hot_share: float | None = None,
     salts: int = 32,
 ) -> DataFrame:
     """Every review with the weather of its city on its day (NULL where unknown).
 
     Each review has to reach its business, and a business may hold a large share of the reviews: AQE
-    splits such a partition; ``hot_rows`` salts businesses with more reviews than that explicitly.
+    splits such a partition; ``hot_share`` salts businesses with more than that share of the reviews explicitly.
     """
     dated = reviews.select(*columns).withColumn("date", F.col("ts").cast("date"))
     places = business_city(businesses, addresses)
-    if hot_rows is None:
+    if hot_share is None:
         located = lookup(dated, places, ["business_id"], ["city_id"])
     else:
-        located = salted_lookup(dated, places, ["business_id"], ["city_id"], hot_rows, salts)
+        located = salted_lookup(dated, places, ["business_id"], ["city_id"], hot_share, salts)
     weather = city_weather.select("city_id", "date", "avg_temperature", "weather_description")
     return located.join(weather, ["city_id", "date"], "left").select(
         *columns, "city_id", "avg_temperature", "weather_description"

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-INLINE_ROW_LIMIT = 10_000
-
 
 def read_json(
     spark: SparkSession,
@@ -62,8 +60,6 @@ def inline_lookup(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTy
     It goes through Arrow so that Spark knows its real size and can choose a broadcast join by
     itself; a larger table belongs in a file.
     """
-    if len(rows) > INLINE_ROW_LIMIT:
-        raise ValueError(f"inline table of {len(rows)} rows; store more than {INLINE_ROW_LIMIT} in a file")
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     arrow = pa.Table.from_arrays(
         [pa.array(values, type=field.type) for values, field in zip(columns, to_arrow_schema(schema))],

@@ -205,7 +205,7 @@ def test_questions(built):
     args = (t["reviews"], t["businesses"], t["addresses"], t["city_weather"])
     plain = by(analytics.weather_at_review(*args), "review_id", "avg_temperature", "weather_description")
     assert plain == [("r0", 301.0, "clear"), ("r1", 290.0, None), ("r2", None, None), ("r3", None, "mist"), ("r4", None, None), ("r5", 301.0, "clear")]
-    assert by(analytics.weather_at_review(*args, hot_rows=1, salts=3), "review_id", "avg_temperature", "weather_description") == plain
+    assert by(analytics.weather_at_review(*args, hot_share=0.01, salts=3), "review_id", "avg_temperature", "weather_description") == plain
 
 
 def test_load_into_the_catalog(spark, built, fresh):

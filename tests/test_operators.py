@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -41,8 +42,14 @@ def test_map_keys_are_sorted_renamed_and_bounded(spark, rows):
     wide = N.map_to_columns(df, "m")
     assert wide.columns == ["k", "m_a", "m_b_c"]
     assert rows(wide) == [(1, None, True), (2, False, None), (3, None, None)]
-    with pytest.raises(ValueError, match="more than 1 distinct"):
-        N.bounded_values(df.select(F.explode(F.map_keys("m")).alias("key")), "key", limit=1)
+    assert rows(N.distinct_keys(df, "m")) == [("a", 1), ("b-c", 1)]
+    assert rows(N.undeclared_keys(df, "m", ["a"])) == [("b-c", 1)]
+    assert rows(N.map_long(df, "m", ["k"])) == [(1, "b-c", True), (2, "a", False)]
+
+
+def test_any_number_of_keys_in_the_long_form(spark):
+    df = spark.range(6000).select(F.create_map(F.concat(F.lit("k"), F.col("id")), F.lit(True)).alias("m"))
+    assert N.map_long(df, "m", []).count() == 6000 == N.distinct_keys(df, "m").count()
 
 
 # --- reshape ---------------------------------------------------------------------------------------
@@ -62,10 +69,8 @@ def test_unpivot_nulls(spark, rows):
     assert rows(P.unpivot(df, ["k"], ["a", "b"], "n", "v", keep_nulls=False)) == [(1, "b", "x")]
 
 
-@pytest.mark.parametrize("limit", [0, 40])
 @pytest.mark.parametrize("scale", [None, 2])
-def test_series_mean_both_plans(spark, rows, monkeypatch, limit, scale):
-    monkeypatch.setattr(P, "WIDE_AGGREGATE_LIMIT", limit)
+def test_series_mean(spark, rows, scale):
     df = spark.createDataFrame([("d1", 1.0, None), ("d1", 2.0, None), ("d2", None, 5.5)], "day string, a double, b double")
     assert rows(P.series_mean(df, "day", ["a", "b"], "s", "v", scale)) == [
         ("d1", "a", 1.5), ("d1", "b", None), ("d2", "a", None), ("d2", "b", 5.5),
@@ -144,7 +149,7 @@ def test_salted_lookup_equals_plain_with_hot_and_null_keys(spark, rows, how):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         plain = J.lookup(fact, dim, ["k"], ["v"], how)
-        salted = J.salted_lookup(fact, dim, ["k"], ["v"], hot_rows=100, salts=6, how=how)
+        salted = J.salted_lookup(fact, dim, ["k"], ["v"], hot_share=0.1, salts=6, how=how)
         assert rows(salted.select("i", "k", "v")) == rows(plain.select("i", "k", "v"))
         # the hot key is spread over several tasks
         spread = salted.where("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
@@ -154,6 +159,37 @@ def test_salted_lookup_equals_plain_with_hot_and_null_keys(spark, rows, how):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_salted_lookup_shuffles_facts_once_and_spreads_equal_rows(spark):
+    fact = spark.createDataFrame([("hot", 1)] * 800 + [(None, 1)] * 200, "k string, x int").repartition(16)
+    dim = spark.createDataFrame([("hot", 1), ("other", 2)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = J.salted_lookup(fact, dim, ["k"], ["v"], hot_share=0.2, salts=8, how="inner")
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning\(k#\d+, _salt#\d+", plan)) == 2
+        assert not re.findall(r"SortMergeJoin \[k#\d+\]", plan)
+        assert salted.count() == 800
+        for how in ("right", "full", "outer"):
+            with pytest.raises(ValueError, match="salted"):
+                J.salted_lookup(fact, dim, ["k"], ["v"], hot_share=0.2, salts=8, how=how)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_content_keys_of_negative_zero(spark, rows):
+    from relweave.operators.dimension import extract_dimension, foreign_key
+
+    df = spark.createDataFrame([(1, -0.0, "-0.0"), (2, 0.0, "0.0"), (3, None, None)], "i int, x double, t string")
+    for column in ("x",):
+        for style in ("content", "dense"):
+            dim = extract_dimension(df.where("x is not null"), [column], "id", style)
+            assert dim.count() == 1
+            keyed = df.where("x is not null").withColumn("id", foreign_key([column])) if style == "content" else J.lookup(df.where("x is not null"), dim, [column], ["id"])
+            assert J.orphans(keyed, dim, {"id": "id"}).count() == 0 and keyed.where("id is null").count() == 0
+    # texts stay apart
+    assert df.where("t is not null").select(foreign_key(["t"]).alias("k")).distinct().count() == 2
+
+
 def test_orphans(spark, rows):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "fk int")
     parent = spark.createDataFrame([(2,), (3,)], "id int")
