@@ -82,11 +82,7 @@ def map_to_columns(t: Tables) -> DataFrame:
     return N.flag_dicts_to_columns(raw, {"diet": DIETS})
 
 
-@query(
-    "SELECT p_partkey, p_name, CASE WHEN p_size > 10 THEN p_brand END AS labels_brand, "
-    "CASE WHEN p_size > 20 THEN p_type END AS labels_long_type FROM part"
-)
-def map_keys_discovered(t: Tables) -> DataFrame:
+def _labelled(t: Tables) -> DataFrame:
     entries = F.map_filter(
         F.create_map(
             F.lit("brand"), F.when(F.col("p_size") > 10, F.col("p_brand")),
@@ -94,7 +90,28 @@ def map_keys_discovered(t: Tables) -> DataFrame:
         ),
         lambda _, v: v.isNotNull(),
     )
-    return N.map_to_columns(t.part.select("p_partkey", "p_name", entries.alias("labels")), "labels")
+    return t.part.select("p_partkey", "p_name", entries.alias("labels"))
+
+
+@query(
+    "SELECT p_partkey, p_name, CASE WHEN p_size > 10 THEN p_brand END AS labels_brand, "
+    "CASE WHEN p_size > 20 THEN p_type END AS labels_long_type FROM part"
+)
+def map_keys_discovered(t: Tables) -> DataFrame:
+    return N.map_to_columns(_labelled(t), "labels")
+
+
+@query(
+    "SELECT p_partkey, 'brand' AS key, p_brand AS value FROM part WHERE p_size > 10 AND p_brand IS NOT NULL "
+    "UNION ALL SELECT p_partkey, 'long-type', p_type FROM part WHERE p_size > 20 AND p_type IS NOT NULL"
+)
+def map_long(t: Tables) -> DataFrame:
+    return N.map_long(_labelled(t), "labels", ["p_partkey"])
+
+
+@query("SELECT 'long-type' AS key, count(*) AS n_rows FROM part WHERE p_size > 20 AND p_type IS NOT NULL HAVING count(*) > 0")
+def undeclared_keys(t: Tables) -> DataFrame:
+    return N.undeclared_keys(_labelled(t), "labels", ["brand"])
 
 
 ATTRIBUTES_SQL = (
