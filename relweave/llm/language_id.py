@@ -223,7 +223,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: str = "d
     ).where(~held_out(order) & F.col("lang").isNotNull() & (F.octet_length("text").between(1, MOST_BYTES)))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     sample = rows.select("id", "lang").withColumn("turn", turn).where(F.col("turn") <= MOST_DOCUMENTS).select("id").distinct()
-    table = rows.join(F.broadcast(sample), "id").orderBy("id").toArrow()
+    # of rows that share an id one is taken, so the sample stays bounded
+    table = rows.join(F.broadcast(sample), "id").dropDuplicates(["id"]).orderBy("id").toArrow()
     return train(table.column("text").to_pylist(), table.column("lang").to_pylist())
 
 

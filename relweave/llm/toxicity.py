@@ -195,9 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", order: str = "do
     )
     given = docs.select(quoted(order).alias("id"), quoted(text).cast("string").cast("binary").alias("text"))
     given = given.where(F.col("text").isNotNull() & (F.octet_length("text") <= MOST_BYTES))
-    table = given.join(F.broadcast(sample), "id").orderBy("id").toArrow()
-    # repeated ids are bounded too
-    table = table.slice(0, MOST_TOXIC + MOST_CLEAN)
+    # of rows that share an id one is taken, so the sample stays bounded
+    table = given.join(F.broadcast(sample), "id").dropDuplicates(["id"]).orderBy("id").toArrow()
     return train(table.column("text").to_pylist(), table.column("label").to_pylist())
 
 
