@@ -302,6 +302,19 @@ def test_passages_cover_brute_force(spark):
     assert got[0].partner_id == 3 or got[0].partner_id in range(24)
 
 
+def test_passages_behind_a_hub(spark):
+    hub = prose(40, 600)
+    texts = [f"{prose(60, 8000 + i)} {hub} {prose(60, 8100 + i)}" for i in range(30)]
+    for i in range(12):  # each two share ten words more than all the others
+        texts += [f"{prose(20 + i, 8200 + 2 * i + k)} {hub} {prose(10, 8300 + i)} {prose(30, 8400 + 2 * i + k)}" for k in (0, 1)]
+    got = {r.id: r for r in substring_dedup.repeated_passages(documents(spark, texts)).collect()}
+    brute = brute_passages(texts)
+    assert sum(map(bool, brute.values())) == 24
+    for i, hit in brute.items():
+        assert {k for s in got[i].spans for k in range(s["first"], s["last"] + 1)} == hit
+        assert got[i].partner_id == ((i - 30 ^ 1) + 30 if hit else None)
+
+
 def test_passages_of_nothing(empty):
     assert substring_dedup.repeated_passages(empty).count() == 0
 
