@@ -315,6 +315,17 @@ def test_passages_behind_a_hub(spark):
         assert got[i].partner_id == ((i - 30 ^ 1) + 30 if hit else None)
 
 
+def test_near_passages(spark):
+    texts = []
+    for i in range(200):
+        words = prose(60, 8500 + i).split()
+        texts.append(" ".join([prose(30, 8800 + i), *words, prose(30, 9100 + i)]))
+        words[30] = "changed"
+        texts.append(" ".join([prose(25, 9400 + i), *words, prose(35, 9700 + i)]))
+    got = {r.id: r for r in substring_dedup.repeated_passages(documents(spark, texts)).collect()}
+    assert sum(got[i].partner_id == i ^ 1 for i in range(400)) >= 394
+
+
 def test_passages_of_nothing(empty):
     assert substring_dedup.repeated_passages(empty).count() == 0
 
