@@ -162,6 +162,31 @@ def test_repeated_spans():
     assert substring_dedup.repeated_spans(np.concatenate((fill(60), short)), np.concatenate((short, fill(60)))) == ([], [])
 
 
+def test_repeated_spans_with_repeated_lines():
+    rng = np.random.default_rng(3)
+    def fill(n):
+        return rng.integers(0, 2**60, n).astype(np.uint64)
+    line, tail = fill(20), fill(35)
+    changed = tail.copy()
+    changed[15] = 1
+    a = np.concatenate((fill(40), line, fill(300), line, tail, fill(40)))
+    b = np.concatenate((fill(60), line, changed, fill(30)))
+    in_a, in_b = substring_dedup.repeated_spans(a, b)
+    assert any(first <= 362 and last >= 412 for first, last in in_a) and any(first <= 62 and last >= 112 for first, last in in_b)
+
+
+def test_similar_parts_of_a_stretch_that_is_not_similar():
+    rng = np.random.default_rng(4)
+    one = rng.integers(0, 2**60, 200).astype(np.uint64)
+    other = one.copy()
+    other[[20, 66, 68, 112, 158]] = 1  # every fifty words are near, but for those around the middle
+    x, y = substring_dedup.runs_hash(one, 5), substring_dedup.runs_hash(other, 5)
+    longer = np.insert(x, 100, rng.integers(0, 2**60, 120).astype(np.uint64))
+    source = np.where(x == y, np.arange(len(x)) + np.where(np.arange(len(x)) >= 100, 120, 0), -1)
+    parts = substring_dedup._similar(longer, y, source, 0, len(y))
+    assert parts and min(p for _, (p, _) in parts) == 0 and max(q for _, (_, q) in parts) == len(y)
+
+
 def test_gradients_of_the_network():
     network = language_id.Network.new(["x", "y", "z"], units=3, seed=1)
     for gru in (network.forwards, network.backwards):
