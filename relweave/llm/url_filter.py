@@ -2,11 +2,11 @@
 
 List entries are dated: an entry (a domain with its subdomains, or the beginning of a path) is added and
 removed on given days. The dated events become validity intervals, which do not overlap within an entry.
-Every capture asks with all entries that could cover it (each suffix of its host, and each beginning of
-its path up to ``PATH_PARTS`` segments) for those whose interval holds its day of fetching: an as-of join
+Every capture asks with all entries that could cover it (each suffix of its host, alone and with each beginning
+of its path up to as many segments as the deepest entry has) for those whose interval holds its day of fetching: an as-of join
 as an equi-join with a range condition that finds one interval at most.
 
-Captures are first reduced to distinct (host, path beginning, day), which combines map-side, so a host with
+Captures are first reduced to distinct (host, longest path beginning, day), which combines map-side, so a host with
 a third of all captures brings few rows into the join; the decision then goes back by an ordinary join.
 """
 
@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from relweave.llm.exact_dedup import quoted
 
-PATH_PARTS = 1
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)"
+_WHOLE_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)"
 
 
 def host_of(url: Column) -> Column:
@@ -33,6 +33,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PATH, 1), F.lit(""))
 
 
+def beginning_of(url: Column, parts: int) -> Column:
+    """The first ``parts`` path segments, fewer where the path ends or has an empty one, '' where there is none."""
+    segments = F.split(F.coalesce(F.regexp_extract(url, _WHOLE_PATH, 1), F.lit("")), "/")
+    gap = F.array_position(segments, F.lit(""))
+    filled = F.slice(segments, F.lit(1), F.when(gap > 0, gap - 1).otherwise(F.size(segments)).cast("int"))
+    return F.array_join(F.slice(filled, 1, parts), "/")
+
+
 def validity_intervals(events: DataFrame) -> DataFrame:
     """(entry, valid_from, valid_to) from (entry, day, added): from the day on, up to but without ``valid_to``.
 
@@ -55,7 +63,7 @@ def filter_captures(captures: DataFrame, events: DataFrame, url: str = "url", fe
 
     ``filter_entry`` is the longest active entry that covers the capture (of equal lengths the first by
     name), ``filter_since`` the start of its interval, ``filter_entries`` how many cover it. A NULL or
-    relative URL and a NULL day match nothing; every row comes back once, repeated rows each. Names that
+    relative URL and a NULL day match nothing; the depth of the deepest entry is read from the events first; every row comes back once, repeated rows each. Names that
     the captures have already are refused.
     """
     added = ["filter_host", "filter_blocked", "filter_entry", "filter_since", "filter_entries"]
@@ -63,18 +71,19 @@ def filter_captures(captures: DataFrame, events: DataFrame, url: str = "url", fe
     if clash:
         raise ValueError(f"the captures have columns named {sorted(clash)}")
     link = quoted(url).cast("string")
+    deepest = events.agg(F.max(F.size(F.split("entry", "/")) - 1)).first()[0] or 0
     asked = captures.withColumns({
-        "filter_host": host_of(link), "_path": path_of(link), "_day": quoted(fetched).cast("date"),
+        "filter_host": host_of(link), "_path": beginning_of(link, deepest) if deepest > 0 else F.lit(""), "_day": quoted(fetched).cast("date"),
     })
     targets = asked.where("filter_host is not null and _day is not null").select("filter_host", "_path", "_day").distinct()
     labels = F.split("filter_host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
-    page = F.when(F.col("_path") != "", F.array(F.concat_ws("/", "filter_host", F.lower("_path")))).otherwise(
-        F.array().cast("array<string>")
-    )
-    keys = targets.select("*", F.explode(F.concat(suffixes, page)).alias("key"))
+    segments = F.filter(F.split(F.lower("_path"), "/"), lambda x: x != "")
+    starts = F.transform(F.sequence(F.lit(0), F.size(segments)), lambda i: F.array_join(F.slice(segments, F.lit(1), i), "/"))
+    covering = F.flatten(F.transform(suffixes, lambda h: F.transform(starts, lambda p: F.when(p == "", h).otherwise(F.concat_ws("/", h, p)))))
+    keys = targets.select("*", F.explode(covering).alias("key"))
     spans = validity_intervals(events)
     active = (F.col("valid_from") <= F.col("_day")) & (F.col("valid_to").isNull() | (F.col("_day") < F.col("valid_to")))
     hits = keys.join(spans, (keys.key == spans.entry) & active)

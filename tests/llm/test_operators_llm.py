@@ -358,6 +358,17 @@ def test_intervals_and_captures(spark):
 
 # personal data
 
+def test_deep_paths_and_paths_of_parent_domains(spark):
+    events = spark.createDataFrame([(e, "2024-01-01", True) for e in ("example.com/a/b", "parent.org/ads", "h.net/x")], "entry string, day string, added boolean")
+    urls = {
+        "http://example.com/a/b": "example.com/a/b", "http://example.com/A/b/c?q": "example.com/a/b", "http://www.example.com/a/b#x": "example.com/a/b",
+        "http://example.com/a": None, "http://example.com/a/bc": None, "http://example.com//a/b": None, "http://example.com/a?/b": None,
+        "http://www.parent.org/ads/1/2/3": "parent.org/ads", "http://notparent.org/ads": None, "http://h.net/x/": "h.net/x", "http://h.net": None,
+    }
+    frame = spark.createDataFrame([(u, "2024-02-01") for u in urls], "url string, fetched_on string")
+    assert {r.url: r.filter_entry for r in url_filter.filter_captures(frame, events).collect()} == urls
+
+
 def luhn(digits):
     return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(reversed([int(c) for c in digits]))) % 10 == 0
 
