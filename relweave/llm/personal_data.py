@@ -6,6 +6,9 @@ their length, so a value has the same pseudonym in every document and two values
 number keeps a right check digit, an address four octets, a date is permuted among the days of 400
 years (their number is 189 x 773, so the Feistel halves are days modulo these, and no date falls outside).
 E-mail addresses are not numbers: their local part becomes a keyed digest of its own length.
+
+Not found: phone numbers without a leading ``+``, IBANs and other national or account numbers, and names. Cards
+are sought among whole digit groups, parted by one space or hyphen, not inside a longer unbroken row of digits.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[/.-][0-9])"
 PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+# a whole run of digit groups, up to where another kind begins; the cards in it are found by ``_values``
+CARD = rf"(?<![0-9])[0-9](?:[ -]?(?!{EMAIL}|{IPV4}|{DATE})[0-9]){{12,}}+(?![0-9])"
 PATTERN = "|".join((EMAIL, IPV4, DATE, PHONE, CARD))
 KINDS = ("email", "ip", "date", "phone", "card")
 _FIRST_DAY, _RADIX = "1800-01-01", (189, 773)
@@ -101,10 +105,51 @@ def _kind(value: Column) -> Column:
     return (
         F.when(value.contains("@"), "email").when(value.startswith("+"), "phone").when(value.rlike(f"^{IPV4}$"), "ip")
         .when(value.rlike(f"^(?:{DATE})$"), F.when(days.between(0, _RADIX[0] * _RADIX[1] - 1), "date"))
-        .when(luhn_sum(_only_digits(value)) % 10 == 0, "card")
+        .when(_is_card(_only_digits(value)), "card")
     )
 
 
+def _is_card(digits: Column) -> Column:
+    return F.when(F.length(digits).between(13, 19), luhn_sum(digits) % 10 == 0).otherwise(False)
+
+
+def _values(value: Column) -> Column:
+    """(value, kind) of the parts of a match: itself, or the cards among the digit groups of a run that is none as a whole.
+
+    From each group on, the longest valid number that ends with a group is a card.
+    """
+    def inside(pieces: Column) -> Column:
+        n = F.size(pieces)
+
+        def joined(first: Column, last: Column) -> Column:
+            return F.array_join(F.slice(pieces, first, last - first + 1), "")
+
+        def longest(i: Column) -> Column:
+            ends = F.filter(F.sequence(i, F.least(i + 18, n)), lambda e: _is_card(_only_digits(joined(i, e))))
+            return F.struct(i.alias("first"), F.array_max(ends).alias("last"))
+
+        def step(s, c):
+            run = F.regexp_replace(joined(c["first"], c["last"]), "[ -]$", "")
+            before = _part(joined(s["next"], c["first"] - 1), F.lit(None))
+            after = F.substring(joined(c["first"], c["last"]), F.length(run) + 1, F.lit(1))
+            parts = F.concat(s["parts"], F.array(before, _part(run, F.lit("card")), _part(after, F.lit(None))))
+            return F.when(c["first"] < s["next"], s).otherwise(F.struct((c["last"] + 1).alias("next"), parts.alias("parts")))
+
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<value:string,kind:string>>").alias("parts"))
+        cards = F.filter(F.transform(F.sequence(F.lit(1), n), longest), lambda c: c["last"].isNotNull())
+        return F.aggregate(cards, start, step, lambda s: F.concat(s["parts"], F.array(_part(joined(s["next"], n), F.lit(None)))))
+
+    pieces = F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0))
+    cut = F.transform(F.array(pieces), inside)[0]  # the groups are bound once
+    kind = _kind(value)
+    run = value.rlike("^[0-9](?:[ -]?[0-9]){12,}+$")
+    return F.when(kind.isNull() & run, cut).otherwise(F.array(_part(value, kind)))
+
+
+def _part(value: Column, kind: Column) -> Column:
+    return F.struct(value.alias("value"), kind.cast("string").alias("kind"))
+
+
 def _card(value: Column, key: Column) -> Column:
     digits = _only_digits(value)
     payload = permute_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key)
@@ -149,18 +194,18 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", carry: Sequence[
 
     ``kinds`` has the kind of every replaced value in its order. NULL text stays NULL and has no kinds. Whole
     texts are searched; a text without a digit or ``@`` holds none of the formats and passes as it is.
-    Invalid numbers and dates stay. Input columns stay inside ``row`` and cannot clash.
+    Invalid numbers and dates stay; of a run of digit groups the valid card numbers in it are replaced. Input columns stay inside ``row`` and cannot clash.
     """
     secret = F.lit(key)
     given = docs.select(F.struct(*[quoted(c) for c in carry]).alias("row"), quoted(text).cast("string").alias("text"))
     may = F.col("text").rlike("[0-9@]")
     found = F.when(may, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
     given = given.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
-    given = given.withColumn("values", F.transform("found", lambda v: F.struct(v.alias("value"), _kind(v).alias("kind"))))
-    changed = F.transform("values", lambda v: pseudonym(v["value"], v["kind"], secret))
+    given = given.withColumn("values", F.transform("found", _values))
+    changed = F.transform("values", lambda m: F.array_join(F.transform(m, lambda v: pseudonym(v["value"], v["kind"], secret)), ""))
     between = F.split("text", PATTERN, -1)
     whole = F.array_join(F.zip_with(between, F.concat(changed, F.array(F.lit(""))), lambda x, y: F.concat(x, y)), "")
-    kinds = F.filter(F.transform("values", lambda v: v["kind"]), lambda k: k.isNotNull())
+    kinds = F.filter(F.transform(F.flatten("values"), lambda v: v["kind"]), lambda k: k.isNotNull())
     return given.select("row", F.when(F.size("found") > 0, whole).otherwise(F.col("text")).alias("text"), kinds.alias("kinds"))
 
 

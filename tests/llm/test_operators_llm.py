@@ -409,6 +409,21 @@ def test_permutations_are_one_to_one(spark):
     assert len(set(moved)) == len(moved) == days.count()
 
 
+def test_cards_beside_other_digits(spark):
+    card, other = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    texts = [f"pay {card} 12/27 now", "4111111111111111 123", f"1234 {card}", f"1234 5678 {card} 12", f"{card} {other}", f"{card} 2024-01-05",
+             f"{card} 12345@example.org", f"{card} 10.1.2.3", "1234 5678 9012 3456", "41111111111111111234567", "1 " * 30000]
+    got = {r.row.doc_id: r for r in personal_data.pseudonymise(documents(spark, texts), "k").collect()}
+    kinds = [["card"]] * 4 + [["card", "card"], ["card", "date"], ["card", "email"], ["card", "ip"], [], []]
+    for i, (text, expected) in enumerate(zip(texts, kinds)):
+        assert got[i].kinds == expected
+        assert card not in got[i].text and other not in got[i].text and "4111111111111111 " not in got[i].text
+        assert len(got[i].text) == len(text) or expected[1:] in (["date"], ["ip"])
+        assert got[i].text != text or not expected
+    assert re.fullmatch(r"pay \d{4} \d{4} \d{4} \d{4} 12/27 now", got[0].text) and luhn(re.sub("[^0-9]", "", got[0].text[4:23]))
+    assert got[1].text.endswith(" 123") and got[8].text == texts[8]
+
+
 # licences
 
 def test_licences(spark):
