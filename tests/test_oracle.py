@@ -1,4 +1,4 @@
-"""Every registered query gives the rows, names and types of its SQL on DuckDB."""
+"""Every query of the gallery gives the rows, names and types of its SQL on DuckDB."""
 
 import os
 
@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from relweave.gallery import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 SQL = entry.oracle_sql()
@@ -16,7 +17,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
     assert differences(entry.queries()[name](spark, FOLDER), duck, SQL[name]) == []
 
