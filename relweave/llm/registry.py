@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, license_scan, personal_data, substring_dedup, toxicity, url_filter
+from relweave.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language_id, license_scan, merkle_manifest, personal_data, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": (language_id.query, None),
@@ -16,5 +16,6 @@ QUERIES = {
     "op7_personal_data": (personal_data.query, None),
     "op8_substring_dedup": (substring_dedup.query, None),
     "op9_exact_dedup": (exact_dedup.query, exact_dedup.SQL),
+    "op11_merkle_manifest": (merkle_manifest.query, merkle_manifest.SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
