@@ -39,22 +39,24 @@ from relweave.session import materialise
 
 K = 5  # the largest count that is discounted
 TOP_WORDS = 1 << 19
-BUCKET_TOKENS = 1 << 21
+BUCKET_TOKENS = 1 << 20
 CHUNK_BYTES = 8 << 20
 END = np.uint64(1)  # the token at the end of every text
 _MOST_TEXTS = 50_000
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Whole numbers in the narrowest type that holds them, after a byte that names its width."""
-    width = 1
-    while width < 8 and len(values) and int(values.max()) >> (8 * width):
-        width *= 2
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    """Whole numbers in as few bytes each as the largest needs, after a byte that names how many."""
+    values = values.astype("<u8")
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    return bytes([width]) + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.uint64)
+    width = data[0]
+    out = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    return out.view("<i8").ravel()
 
 
 def tokens_of(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,12 +102,17 @@ class Words:
     denominator: int
     unknown: float
 
-    def counts(self, words: np.ndarray) -> np.ndarray:
-        """Training count of each word, 0 for a word that is not in the table."""
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Place of each word in the table, -1 for a word that is not there."""
         if not len(self.key):
-            return np.zeros(len(words), np.int64)
+            return np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.key, words), len(self.key) - 1)
-        return np.where(self.key[at] == words, self.count[at], 0)
+        return np.where(self.key[at] == words, at, -1)
+
+    def counts(self, words: np.ndarray) -> np.ndarray:
+        """Training count of each word, 0 for a word that is not in the table."""
+        at = self.places(words)
+        return np.append(self.count, 0)[at]
 
     def probability(self, counts: np.ndarray) -> np.ndarray:
         """Probability of words by their counts."""
@@ -146,24 +153,35 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "c"])
 
 
-_PAIRS = "bucket int, contexts binary, sizes binary, words binary, word binary, n binary"
+_PAIRS = "bucket int, ids binary, sizes binary, rare_words binary, n binary"
 _SUMS = "score double, base double, n_tokens long, n_known long, token long, n_all long, n_open long"
 
 
+def _arrays(contexts: np.ndarray, sizes: np.ndarray, words: np.ndarray, at: np.ndarray, place: np.ndarray, known: int) -> dict:
+    """Contexts, their numbers of pairs and the pairs' words: places in ``words`` as places in the table of frequent words.
+
+    A word that is not there is a place behind the table, in the list of rare words that goes along.
+    """
+    both = np.concatenate((contexts, at))
+    ids = place[both]
+    rare = np.flatnonzero(ids < 0)
+    extra, own = np.unique(words[both[rare]], return_inverse=True)
+    ids[rare] = known + own
+    return {"ids": _packed(ids), "sizes": _packed(sizes), "rare_words": extra.tobytes()}
+
+
 def _blobs(words: np.ndarray, context: np.ndarray, word: np.ndarray, top: Words, buckets: int) -> Iterator[tuple[int, np.ndarray, dict]]:
     """Pairs of places in ``words``, sorted, by bucket: (bucket, places of its pairs, its arrays)."""
-    over = spread(top.counts(words), buckets)
+    place = top.places(words)
+    over = spread(np.append(top.count, 0)[place], buckets)
     bucket = bucket_of(words[context], words[word], over[context], buckets)
     order = np.argsort(bucket, kind="stable")
     starts = np.flatnonzero(np.diff(bucket[order], prepend=np.uint64(buckets)))
     for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
         own = order[start:stop]
         first = np.flatnonzero(np.diff(context[own].astype(np.int64), prepend=-1))
-        used, place = np.unique(word[own], return_inverse=True)
-        yield int(bucket[order[start]]), own, {
-            "contexts": words[context[own[first]]].tobytes(), "sizes": _packed(np.diff(first, append=len(own))),
-            "words": words[used].tobytes(), "word": _packed(place),
-        }
+        sizes = np.diff(first, append=len(own))
+        yield int(bucket[order[start]]), own, _arrays(context[own[first]], sizes, words, word[own], place, len(top.key))
 
 
 def _emit_training(batches: Iterator[pa.RecordBatch], top: Words, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -186,10 +204,14 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
 
 
-def _pairs_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
+def _pairs_of(row: dict, top: Words) -> tuple[np.ndarray, np.ndarray]:
     """(context, word) hashes of the pairs in a row."""
-    contexts, words = np.frombuffer(row["contexts"], "<u8"), np.frombuffer(row["words"], "<u8")
-    return np.repeat(contexts, _unpacked(row["sizes"]).astype(np.int64)), words[_unpacked(row["word"]).astype(np.int64)]
+    ids, sizes = _unpacked(row["ids"]), _unpacked(row["sizes"])
+    hashes = np.zeros(len(ids), np.uint64)
+    inside = ids < len(top.key)
+    hashes[inside] = top.key[ids[inside]]
+    hashes[~inside] = np.frombuffer(row["rare_words"], "<u8")[ids[~inside] - len(top.key)]
+    return np.repeat(hashes[: len(sizes)], sizes), hashes[len(sizes) :]
 
 
 def _ordered(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,21 +234,19 @@ def _count_pairs(group: pa.Table, top: Words) -> pa.Table:
     """
     bucket = group.column("bucket")[0].as_py()
     rows = group.to_pylist()
-    both = [_pairs_of(r) for r in rows]
-    context, word = np.concatenate([c for c, _ in both]), np.concatenate([w for _, w in both])
-    n = np.concatenate([_unpacked(r["n"]) for r in rows]).astype(np.int64)
+    context, word = (np.concatenate(parts) for parts in zip(*[_pairs_of(r, top) for r in rows]))
+    n = np.concatenate([_unpacked(r["n"]) for r in rows])
     order, first = _ordered(context, word)
     n = np.add.reduceat(n[order], first)
     context, word = context[order][first], word[order][first]
     begins = np.flatnonzero(np.diff(context, prepend=~context[:1]))
-    used, place = np.unique(word, return_inverse=True)
+    sizes = np.diff(begins, append=len(n))
     known = top.counts(word)
     frequent = np.where(known > 0, top.probability(known), 0.0)
     rare = np.flatnonzero(known == 0)
-    whole = {
-        "bucket": bucket, "contexts": context[begins].tobytes(), "sizes": _packed(np.diff(begins, append=len(n))),
-        "words": used.tobytes(), "word": _packed(place), "n": _packed(n),
-    }
+    used, place = np.unique(np.concatenate((context[begins], word)), return_inverse=True)
+    arrays = _arrays(place[: len(begins)], sizes, used, place[len(begins) :], top.places(used), len(top.key))
+    whole = {"bucket": bucket, **arrays, "n": _packed(n)}
     sums = {
         "bucket": np.full(len(begins), bucket, np.int32), "context": context[begins].view(np.int64), "c": np.add.reduceat(n, begins),
         "p": np.add.reduceat(frequent, begins), **{f"n{r}": np.add.reduceat((n == r).astype(np.int64), begins) for r in range(1, K + 2)},
@@ -296,7 +316,7 @@ def train(docs: DataFrame, text: str = "text") -> KatzModel:
     emitted = texts.mapInArrow(lambda batches: _emit_training(batches, shared.value, buckets), _PAIRS)
     counted = emitted.groupBy("bucket").applyInArrow(lambda group: _count_pairs(group, shared.value), _COUNTED)
     counted = materialise(counted, "katz-pairs")
-    pairs = counted.where(F.col("words").isNotNull()).select("bucket", "contexts", "sizes", "words", "word", "n")
+    pairs = counted.where(F.col("ids").isNotNull()).select("bucket", "ids", "sizes", "rare_words", "n")
 
     classes = [f"n{r}" for r in range(1, K + 2)]
     parts = counted.where(F.col("context").isNotNull() & F.col("rare").isNull()).select("bucket", "context", "c", "p", *classes)
@@ -360,34 +380,31 @@ def _emit_scoring(batches: Iterator[pa.RecordBatch], top: Words, buckets: int, s
                 inside = np.repeat(first[own] - np.concatenate(([0], np.cumsum(size[own])[:-1])), size[own]) + np.arange(size[own].sum())
                 rows.append({
                     "bucket": k, **arrays, "n": _packed(n[inside]), "texts": _packed(owner[inside]), "per_pair": _packed(size[own]),
-                    "uids": _packed(uid - uid.min()), "first": int(uid.min()),
+                    "uids": _packed(np.diff(uid, prepend=uid[0])), "first": int(uid[0]),
                 })
             yield pa.RecordBatch.from_pylist([{f: r.get(f) for f in schema.names} for r in rows], schema=schema)
 
 
 def _score_pairs(texts: pa.Table, model: pa.Table, top: Words, discount: np.ndarray, schema: pa.Schema) -> pa.Table:
     """The pairs of a bucket's texts against its part of the model; the rows of texts and words pass."""
-    pairs = texts.filter(pa.compute.is_valid(texts.column("contexts"))).to_pylist()
-    passed = texts.filter(pa.compute.is_null(texts.column("contexts"))).select(schema.names).cast(schema)
+    pairs = texts.filter(pa.compute.is_valid(texts.column("ids"))).to_pylist()
+    passed = texts.filter(pa.compute.is_null(texts.column("ids"))).select(schema.names).cast(schema)
     if not pairs:
         return passed
-    whole = model.filter(pa.compute.is_valid(model.column("contexts"))).to_pylist()
+    whole = model.filter(pa.compute.is_valid(model.column("ids"))).to_pylist()
     alone = model.filter(pa.compute.is_valid(model.column("context")))
     known = np.asarray(alone.column("context").to_numpy(), np.int64).view(np.uint64)
     order = np.argsort(known)
     known = known[order]
     denominator = np.asarray(alone.column("denominator").to_numpy())[order]
     log_alpha = np.asarray(alone.column("log_alpha").to_numpy())[order]
-    both = [_pairs_of(r) for r in [*whole, *pairs]]
-    context, word = np.concatenate([c for c, _ in both]), np.concatenate([w for _, w in both])
-    stored = np.zeros(len(context), np.int64)
-    if whole:
-        counts = np.concatenate([_unpacked(r["n"]) for r in whole]).astype(np.int64)
-        stored[: len(counts)] = counts
+    context, word = (np.concatenate(parts) for parts in zip(*[_pairs_of(r, top) for r in [*whole, *pairs]]))
+    counts = np.concatenate([_unpacked(r["n"]) for r in whole]) if whole else np.empty(0, np.int64)
+    skip = len(counts)
+    stored = np.concatenate((counts, np.zeros(len(context) - skip, np.int64)))
     order, first = _ordered(context, word)
     total = np.empty(len(order), np.int64)
     total[order] = np.repeat(np.maximum.reduceat(stored[order], first), np.diff(first, append=len(order)))
-    skip = len(order) - sum(len(c) for c, _ in both[len(whole):])
     context, word, total = context[skip:], word[skip:], total[skip:]
     value = np.zeros(len(total))
     seen = total > 0
@@ -401,12 +418,12 @@ def _score_pairs(texts: pa.Table, model: pa.Table, top: Words, discount: np.ndar
     value[frequent] += np.log10(top.probability(count[frequent]))
     rare = ~seen & (count == 0)
     tables, at = [passed], 0
-    for r, (own, _) in zip(pairs, both[len(whole):]):
-        size = _unpacked(r["per_pair"]).astype(np.int64)
-        span = np.repeat(np.arange(at, at + len(own)), size)
-        at += len(own)
-        uids = _unpacked(r["uids"]).astype(np.int64) + r["first"]
-        owner, n = _unpacked(r["texts"]).astype(np.int64), _unpacked(r["n"]).astype(np.int64)
+    for r in pairs:
+        size = _unpacked(r["per_pair"])
+        span = np.repeat(np.arange(at, at + len(size)), size)
+        at += len(size)
+        uids = np.cumsum(_unpacked(r["uids"])) + r["first"]
+        owner, n = _unpacked(r["texts"]), _unpacked(r["n"])
         sums = np.bincount(owner, value[span] * n, len(uids))
         hit = np.flatnonzero(np.bincount(owner, minlength=len(uids)))
         tables.append(_partial({"uid": uids[hit], "score": sums[hit]}, schema))
