@@ -46,16 +46,18 @@ _MOST_TEXTS = 50_000
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs, after a byte that names how many."""
+    """Whole numbers, byte by byte of all of them, compressed; before that how many bytes and how many numbers."""
     values = values.astype("<u8")
     width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
-    return bytes([width]) + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T[:width])
+    return np.array([width, len(values)], "<i8").tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    width = data[0]
-    out = np.zeros(((len(data) - 1) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    width, n = np.frombuffer(data, "<i8", 2).tolist()
+    planes = np.frombuffer(pa.decompress(data[16:], n * width, codec="zstd"), np.uint8).reshape(width, n)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = planes.T
     return out.view("<i8").ravel()
 
 
@@ -92,10 +94,15 @@ def distinct_rows(columns: Sequence[np.ndarray]) -> tuple[list[np.ndarray], np.n
 
 @dataclass(frozen=True)
 class Words:
-    """The most frequent words, sorted by hash, with their counts; and what is known of all words."""
+    """The most frequent words, most frequent first, with their counts; and what is known of all words.
 
-    key: np.ndarray
+    ``key`` and ``place`` are their hashes in sorted order and where each is in the table.
+    """
+
+    word: np.ndarray
     count: np.ndarray
+    key: np.ndarray
+    place: np.ndarray
     tokens: int
     distinct: int
     discount: np.ndarray
@@ -107,7 +114,7 @@ class Words:
         if not len(self.key):
             return np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.key, words), len(self.key) - 1)
-        return np.where(self.key[at] == words, at, -1)
+        return np.where(self.key[at] == words, self.place[at], -1)
 
     def counts(self, words: np.ndarray) -> np.ndarray:
         """Training count of each word, 0 for a word that is not in the table."""
@@ -209,7 +216,7 @@ def _pairs_of(row: dict, top: Words) -> tuple[np.ndarray, np.ndarray]:
     ids, sizes = _unpacked(row["ids"]), _unpacked(row["sizes"])
     hashes = np.zeros(len(ids), np.uint64)
     inside = ids < len(top.key)
-    hashes[inside] = top.key[ids[inside]]
+    hashes[inside] = top.word[ids[inside]]
     hashes[~inside] = np.frombuffer(row["rare_words"], "<u8")[ids[~inside] - len(top.key)]
     return np.repeat(hashes[: len(sizes)], sizes), hashes[len(sizes) :]
 
@@ -295,13 +302,15 @@ def _words(counted: DataFrame) -> Words:
     kept = counted.where(F.col("c") >= least) if least is not None else counted.limit(0)
     table = kept.orderBy("word").toArrow()
     key, count = (np.asarray(table.column(name).to_numpy(), np.int64) for name in ("word", "c"))
-    order = np.argsort(key.view(np.uint64))
+    order = np.lexsort((key, -count))
+    word, count = key.view(np.uint64)[order], count[order]
+    place = np.argsort(word)
     by_count = dict(sizes)
     discount = good_turing([by_count.get(r, 0) for r in range(1, K + 2)])
     mass = sum(discount[min(c, K + 1)] * c * n for c, n in sizes)
     denominator = tokens if mass < tokens else tokens + 1
     unknown = 1.0 - float(mass) / denominator
-    return Words(key.view(np.uint64)[order], count[order], tokens, distinct, discount, denominator, unknown)
+    return Words(word, count, word[place], place, tokens, distinct, discount, denominator, unknown)
 
 
 def train(docs: DataFrame, text: str = "text") -> KatzModel:
