@@ -28,6 +28,7 @@ SPARK_TYPES = {
     "text": T.StringType(), "string": T.StringType(),
 }
 TEXT_TYPE = re.compile(r"(?:varchar|char|character varying|character)\s*\(\s*(\d+)\s*\)$")
+DECIMAL_TYPE = re.compile(r"(?:decimal|numeric)(?:\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?$")
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,9 @@ class ColumnSpec:
     def spark_type(self) -> T.DataType:
         if self.max_length is not None:
             return T.StringType()
+        if match := DECIMAL_TYPE.match(self.declared.strip().lower()):
+            # a warehouse decimal without digits is decimal(18, 0)
+            return T.DecimalType(int(match.group(1) or 18), int(match.group(2) or 0))
         try:
             return SPARK_TYPES[self.declared.strip().lower()]
         except KeyError:
@@ -68,6 +72,10 @@ class TableSpec:
     sort_key: tuple[str, ...] = ()
     sort_type: str = "compound"
     source: str | None = None
+    #: number of hash buckets of the primary key, the unit in which an upsert rewrites the table
+    buckets: int | None = None
+    #: number of files sets by ``dist_key`` that the catalog knows, so that joins on it need no shuffle
+    dist_buckets: int | None = None
 
     def __post_init__(self):
         if not self.columns:
@@ -82,6 +90,12 @@ class TableSpec:
             raise ValueError(f"table {self.name}: keys name undeclared columns {unknown}")
         if self.sort_type.lower() not in ("compound", "interleaved"):
             raise ValueError(f"table {self.name}: sort type is 'compound' or 'interleaved'")
+        if self.buckets and not self.primary_key:
+            raise ValueError(f"table {self.name}: buckets need a primary key")
+        if self.dist_buckets and not self.dist_key:
+            raise ValueError(f"table {self.name}: distribution buckets need a distribution key")
+        if self.buckets and self.dist_buckets:
+            raise ValueError(f"table {self.name}: buckets of the primary key or of the distribution key, not both")
 
     @property
     def column_names(self) -> list[str]:
@@ -95,7 +109,7 @@ class TableSpec:
     def of(cls, name: str, columns: str | Sequence[tuple[str, str]], **keys) -> TableSpec:
         """Short form: ``TableSpec.of("users", "user_id varchar(22), fans bigint", primary_key=("user_id",))``."""
         if isinstance(columns, str):
-            columns = [tuple(part.split(None, 1)) for part in columns.split(",")]
+            columns = [tuple(part.split(None, 1)) for part in re.split(r",(?![^(]*\))", columns)]
         return cls(name, tuple(ColumnSpec(n, t.strip()) for n, t in columns), **keys)
 
     @classmethod
@@ -125,6 +139,8 @@ class TableSpec:
             sort_key=_names(entry.get("sortkey")),
             sort_type=entry.get("sort_type", "compound"),
             source=entry.get("s3_key"),
+            buckets=entry.get("buckets"),
+            dist_buckets=entry.get("dist_buckets"),
         )
 
 
@@ -134,9 +150,15 @@ def _names(value: str | Sequence[str] | None) -> tuple[str, ...]:
     return (value,) if isinstance(value, str) else tuple(value)
 
 
-def read_specs(path: str | Path) -> dict[str, TableSpec]:
-    """Table definitions from a YAML or JSON file holding a list of entries."""
-    text = Path(path).read_text()
+def read_specs(path: str | Path, spark=None) -> dict[str, TableSpec]:
+    """Table definitions from a YAML or JSON file: a list of entries, or an object of entries by table name.
+
+    With ``spark`` the file is read through the session's file system, so it may lie in shared storage.
+    """
+    if spark is None:
+        text = Path(path).read_text()
+    else:
+        text = spark.read.text(str(path), wholetext=True).first()[0]
     if str(path).endswith(".json"):
         entries = json.loads(text)
     else:
@@ -145,6 +167,8 @@ def read_specs(path: str | Path) -> dict[str, TableSpec]:
         except ImportError:
             raise RuntimeError("reading YAML definitions needs PyYAML; use JSON instead") from None
         entries = yaml.safe_load(text)
+    if isinstance(entries, Mapping):
+        entries = [{"table_name": name, **entry} for name, entry in entries.items()]
     return {spec.name: spec for spec in map(TableSpec.from_dict, entries)}
 
 
@@ -215,9 +239,62 @@ def schema_difference(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, st
 def lay_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Physical layout before a write: rows of one distribution key together, files sorted.
 
-    The rebalance lets AQE split a key that is too big for one task and merge small ones. An
-    interleaved sort is laid out like a compound one.
+    The rebalance lets AQE split a key that is too big for one task and merge small ones. A compound sort
+    orders by the first key, then the next; an interleaved one by the place on a curve through all keys, so
+    that a filter on any of them meets few files and row groups.
     """
+    if spec.sort_type.lower() == "interleaved" and len(spec.sort_key) > 1:
+        placed = df.withColumn(CURVE, curve_place(df, spec.sort_key))
+        placed = placed.hint("rebalance", spec.dist_key) if spec.dist_key else placed.repartitionByRange(CURVE)
+        return placed.sortWithinPartitions(CURVE).drop(CURVE)
     if spec.dist_key:
         df = df.hint("rebalance", spec.dist_key)
     return df.sortWithinPartitions(*spec.sort_key) if spec.sort_key else df
+
+
+CURVE = "_curve"
+CURVE_BITS = 8
+
+
+def _sortable(df: DataFrame, column: str) -> Column:
+    """The column as a number in the same order: of text the first seven bytes."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column).cast("double" if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)) else "long")
+
+
+def range_bounds(df: DataFrame, columns: Sequence[str], bits: int = CURVE_BITS, accuracy: int = 10_000) -> dict[str, list]:
+    """Per column the values that split its rows into ``2 ** bits`` ranges of about equal size, in one pass."""
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    bounds = df.agg(*[F.percentile_approx(_sortable(df, c), shares, accuracy).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    return {c: sorted(set(bounds[i] or [])) for i, c in enumerate(columns)}
+
+
+def curve_place(df: DataFrame, columns: Sequence[str], bits: int = CURVE_BITS, accuracy: int = 10_000) -> Column:
+    """Place on a space-filling curve: the bits of every column's range number, highest first, in turn.
+
+    NULL lies in the first range. The first column gives the highest bit of each turn.
+    """
+    bounds = range_bounds(df, columns, bits, accuracy)
+    apart = [sum(((n >> bit) & 1) << (bit * len(columns)) for bit in range(bits)) for n in range(1 << bits)]
+    place = F.lit(0).cast("long")
+    for i, column in enumerate(columns):
+        spaced = F.get(F.lit(apart).cast("array<long>"), _range_number(bounds[column], _sortable(df, column), bits))
+        place = place + F.shiftleft(spaced, len(columns) - 1 - i)
+    return place
+
+
+def _range_number(bounds: Sequence, value: Column, bits: int) -> Column:
+    """How many of the sorted bounds are at most ``value``, by halving; 0 for NULL."""
+    if not bounds:
+        return F.lit(0)
+    ranges, steps = F.lit(list(bounds)), F.lit([1 << b for b in reversed(range(bits))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(ranges, at + step - 1) <= value, at + step).otherwise(at)
+    )

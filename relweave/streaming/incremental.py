@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,12 +25,14 @@ def incremental_load(
 ) -> None:
     """Upsert the rows of files not seen before, as recorded in ``checkpoint``.
 
-    A batch that is delivered again after a failure changes nothing, because equal keys with an equal
-    incremental value replace each other; rows without an incremental value would be added twice.
+    The table keeps the number of the last batch of this checkpoint that it holds, so a batch that is
+    delivered again after a failure changes nothing, whatever its rows.
     """
+    started, stream_id = Event(), []
 
-    def upsert(batch: DataFrame, _batch_id: int) -> None:
-        load_table(spark, build(batch), spec, table, root, "upsert")
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        load_table(spark, build(batch), spec, table, root, "upsert", batch=(stream_id[0], batch_id))
 
     stream = spark.readStream.schema(schema).format(source_format).load(source)
     query = (
@@ -38,4 +41,6 @@ def incremental_load(
         .trigger(availableNow=True)
         .start()
     )
+    stream_id.append(str(query.id))  # written in the checkpoint, so it outlives this process
+    started.set()
     query.awaitTermination()

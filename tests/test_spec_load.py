@@ -4,7 +4,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from relweave.operators.load import LOAD_MODES, append_rows, create_if_missing, load_table, reconcile_columns
+from relweave.operators.joins import newest_wins
+from relweave.operators.load import (
+    LOAD_MODES, LoadRejected, append_rows, applied_batch, create_if_missing, delete_unused, length_checks, load_table, reconcile_columns,
+    upsert_buckets,
+)
 from relweave.operators.spec import (
     TableSpec, cast_losses, conform, lay_out, load_order, read_specs, schema_difference, stored_columns,
 )
@@ -59,6 +63,14 @@ def test_bad_specs(change, message):
         TableSpec.from_dict(ENTRIES[0] | change)
 
 
+def test_specs_through_the_session_and_decimals(spark, tmp_path):
+    path = tmp_path / "tables.json"
+    path.write_text(json.dumps({"prices": {"origin_schema": [{"name": "p", "type": "decimal(12, 2)"}, {"name": "q", "type": "numeric"}]}}))
+    spec = read_specs(path.as_uri(), spark)["prices"]
+    assert spec.struct_type.simpleString() == "struct<p:decimal(12,2),q:decimal(18,0)>"
+    assert TableSpec.of("t", "a decimal(3, 1), b int").struct_type.simpleString() == "struct<a:decimal(3,1),b:int>"
+
+
 def test_unknown_type():
     with pytest.raises(ValueError, match="unknown type"):
         TableSpec.of("t", "a geometry").struct_type
@@ -106,7 +118,9 @@ def test_rebuild_takes_the_new_definition(spark, rows, fresh, table):
     out = load_table(spark, make(spark, [(2, 1, "b")]), slim, table, fresh("data"), "rebuild")
     assert rows(out) == [("b", 2)]
     assert stored_columns(spark, table) == [("v", "string"), ("k", "int")]
-    assert len(os.listdir(fresh("data"))) == 1  # the replaced folder is gone
+    assert len(os.listdir(fresh("data"))) == 2  # a load deletes nothing under readers
+    assert len(delete_unused(spark, table, fresh("data"))) == 1
+    assert len(os.listdir(fresh("data"))) == 1 and rows(spark.table(table)) == [("b", 2)]
 
 
 def test_truncate_keeps_the_stored_definition(spark, rows, fresh, table):
@@ -141,12 +155,6 @@ def test_upsert_needs_keys_and_modes_are_checked(spark, fresh, table):
     assert set(LOAD_MODES) == {"append", "rebuild", "truncate", "upsert"}
 
 
-def test_keep_previous_folder(spark, fresh, table):
-    for mode in ("rebuild", "truncate"):
-        load_table(spark, make(spark, [(1, 1, "a")]), SPEC, table, fresh("data"), mode, keep_previous=True)
-    assert len(os.listdir(fresh("data"))) == 2
-
-
 def test_a_failed_load_leaves_the_table(spark, rows, fresh, table):
     load_table(spark, make(spark, [(1, 1, "a")]), SPEC, table, fresh("data"), "rebuild")
     broken = make(spark, [(2, 2, "b")]).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
@@ -156,6 +164,154 @@ def test_a_failed_load_leaves_the_table(spark, rows, fresh, table):
         assert rows(spark.table(table)) == [(1, 1, "a")]
 
 
+BUCKETED = TableSpec.of(
+    "t", "k bigint, ik bigint, v varchar(9)", primary_key=("k",), incremental_key="ik", sort_key=("k",), buckets=16)
+
+
+def files(folder):
+    return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+@pytest.mark.parametrize("first", ["rebuild", "truncate", "append", "upsert"])
+def test_upsert_rewrites_the_buckets_of_its_keys(spark, rows, fresh, table, first):
+    target = [(i, 5 if i % 7 else None, f"t{i}") for i in range(200)]
+    batch = [(3, 6, "newer"), (4, 4, "older"), (7, 9, "null"), (500, 1, "new"), (500, 1, "new"), (8, None, "nil")]
+    load_table(spark, make(spark, target), BUCKETED, table, fresh("data"), first)
+    before = set(spark.table(table).inputFiles())
+    plain = newest_wins(make(spark, target), make(spark, batch), ["k"], "ik")
+    touched, after = upsert_buckets(spark, make(spark, batch), BUCKETED, table, ["k"], "ik")
+    assert 0 < len(touched) <= 5
+    scanned = {f.split("_bucket=")[1].split("/")[0] for f in after.inputFiles() if "_bucket=" in f}
+    assert scanned <= set(map(str, touched)) and "PartitionFilters: [" in after._jdf.queryExecution().toString()
+    expected = rows(plain)
+    out = load_table(spark, make(spark, batch), BUCKETED, table, fresh("data"), "upsert")
+    assert rows(out) == expected and out.columns == ["k", "ik", "v"]
+    now = set(spark.table(table).inputFiles())
+    kept = {f for f in before if int(f.split("_bucket=")[1].split("/")[0]) not in touched}
+    assert kept and kept == before & now  # the other files are the same
+    assert all(os.path.exists(f.replace("file://", "")) for f in before)
+    delete_unused(spark, table, fresh("data"))
+    assert rows(spark.table(table).drop("_bucket")) == expected
+
+
+def test_a_batch_is_applied_once(spark, rows, fresh, table):
+    for spec in (SPEC, BUCKETED):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        data = fresh(f"data{spec.buckets}")
+        batch = make(spark, [(1, 1, "a"), (2, None, "b")])
+        for number in (0, 0):
+            out = load_table(spark, batch, spec, table, data, "upsert", batch=("s", number))
+            assert rows(out) == [(1, 1, "a"), (2, None, "b")]
+        assert applied_batch(spark, table, "s") == 0 and applied_batch(spark, table, "other") == -1
+        out = load_table(spark, batch, spec, table, data, "upsert", batch=("s", 1))
+        assert rows(out) == [(1, 1, "a"), (2, None, "b"), (2, None, "b")]
+
+
+@pytest.mark.parametrize("spec", [SPEC, BUCKETED], ids=["whole", "buckets"])
+@pytest.mark.parametrize("step", range(6))
+def test_a_batch_broken_off_at_any_step_is_finished(spark, rows, fresh, table, monkeypatch, spec, step):
+    load_table(spark, make(spark, [(i, 1, "t") for i in range(20)]), spec, table, fresh("data"), "rebuild")
+    batch = make(spark, [(1, 2, "a"), (2, None, "b"), (9, 3, "c")])
+    expected = rows(newest_wins(spark.table(table).drop("_bucket"), batch, ["k"], "ik"))
+    real, left = type(spark).sql, [step]
+
+    def breaking(self, text, *more, **named):
+        if text.startswith("ALTER"):
+            if not left[0]:
+                raise RuntimeError("lost")
+            left[0] -= 1
+        return real(self, text, *more, **named)
+
+    monkeypatch.setattr(type(spark), "sql", breaking)
+    try:
+        load_table(spark, batch, spec, table, fresh("data"), "upsert", batch=("s", 5))
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    for _ in range(2):
+        assert rows(load_table(spark, batch, spec, table, fresh("data"), "upsert", batch=("s", 5))) == expected
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_a_rebuild_broken_off_at_any_step_loses_nothing(spark, rows, fresh, table, monkeypatch, step):
+    load_table(spark, make(spark, [(1, 1, "a")]), SPEC, table, fresh("data"), "rebuild")
+    real, left = type(spark).sql, [step]
+
+    def breaking(self, text, *more, **named):
+        if text.startswith(("ALTER", "DROP", "CREATE")):
+            if not left[0]:
+                raise RuntimeError("lost")
+            left[0] -= 1
+        return real(self, text, *more, **named)
+
+    monkeypatch.setattr(type(spark), "sql", breaking)
+    with pytest.raises(RuntimeError):
+        load_table(spark, make(spark, [(2, 2, "b")]), SPEC, table, fresh("data"), "rebuild")
+    monkeypatch.undo()
+    out = load_table(spark, make(spark, [(3, 3, "c")]), SPEC, table, fresh("data"), "append")
+    assert rows(out) in ([(1, 1, "a"), (3, 3, "c")], [(2, 2, "b"), (3, 3, "c")])
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+    spark.sql(f"DROP TABLE IF EXISTS {table}__last")
+
+
+@pytest.mark.parametrize("mode", LOAD_MODES)
+@pytest.mark.parametrize("spec", [SPEC, BUCKETED], ids=["whole", "buckets"])
+def test_checks_come_before_the_switch(spark, rows, fresh, table, mode, spec):
+    load_table(spark, make(spark, [(1, 1, "a")]), spec, table, fresh("data"), "rebuild", checks={"rows": "count(*) = 1"})
+    long = make(spark, [(2, 2, "b" * 10)])
+    with pytest.raises(LoadRejected, match="v length"):
+        load_table(spark, long, spec, table, fresh("data"), mode, checks=length_checks(spec))
+    assert rows(spark.table(table).drop("_bucket")) == [(1, 1, "a")]
+    out = load_table(spark, make(spark, [(2, 2, "b")]), spec, table, fresh("data"), mode, checks=length_checks(spec))
+    assert rows(out)[-1] == (2, 2, "b")
+
+
+def test_tables_in_buckets_join_without_a_shuffle(spark, rows, fresh, table):
+    spec = TableSpec.of("t", "k bigint, v varchar(9)", dist_key="k", dist_buckets=4, sort_key=("k",))
+    names = [table, f"{table}_2"]
+    spark.sql(f"DROP TABLE IF EXISTS {names[1]}")
+    for name, mode in zip(names, ("rebuild", "truncate")):
+        out = load_table(spark, make(spark, [(i % 50, f"{name[-1]}{i % 3}") for i in range(100)], "k bigint, v string"), spec, name, fresh(name), mode)
+        load_table(spark, make(spark, [(7, "more")], "k bigint, v string"), spec, name, fresh(name), "append")
+    one, two = (spark.table(n) for n in names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = one.join(two.withColumnRenamed("v", "w"), "k")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        plain = make(spark, [tuple(r) for r in one.collect()], one.schema).join(make(spark, [tuple(r) for r in two.collect()], two.schema).withColumnRenamed("v", "w"), "k")
+        assert rows(joined) == rows(plain) and joined.count() == 49 * 4 + 9
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE {names[1]}")
+
+
+def test_interleaved_layout_serves_filters_on_either_key(spark, fresh):
+    import pyarrow.parquet as pq
+
+    df = spark.range(40_000).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"), F.pmod(F.xxhash64(F.col("id") + 1), F.lit(1000)).alias("b"))
+    met = {}
+    for kind in ("compound", "interleaved"):
+        spec = TableSpec.of("t", "a bigint, b bigint", sort_key=("a", "b"), sort_type=kind)
+        df_laid = lay_out(df.coalesce(1) if kind == "compound" else df, spec)
+        df_laid.write.option("maxRecordsPerFile", 1250).parquet(fresh(kind))
+        bounds = []
+        for path in files(fresh(kind)):
+            meta = pq.ParquetFile(path).metadata
+            stats = [[meta.row_group(g).column(c).statistics for c in (0, 1)] for g in range(meta.num_row_groups)]
+            bounds += [tuple((s.min, s.max) for s in pair) for pair in stats]
+        met[kind] = [sum(low <= 400 <= high for low, high in (b[c] for b in bounds)) / len(bounds) for c in (0, 1)]
+        assert len(bounds) > 4
+    assert met["compound"][1] > 0.9 and met["interleaved"][1] < 0.6 and met["interleaved"][0] < 0.6
+
+
+def test_curve_of_texts_dates_and_nulls(spark):
+    df = spark.createDataFrame([("a", 1.5), ("b", 2.5), (None, None), ("zz", 9.0)], "s string, x double")
+    spec = TableSpec.of("t", "s varchar(9), x double", sort_key=("s", "x"), sort_type="interleaved")
+    assert lay_out(df, spec).count() == 4 and lay_out(df, spec).columns == ["s", "x"]
+    assert lay_out(df.limit(0), spec).count() == 0
+
+
 def test_reconcile_adds_columns(spark, rows, fresh, table):
     create_if_missing(spark, TableSpec.of("t", "k bigint"), table, fresh("data"))
     assert reconcile_columns(spark, SPEC, table) == ["ik", "v"]
