@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from relweave.gallery.registry import Tables, query
 from relweave.gallery.shapes import masked_integer, money_sql
 from relweave.operators import load as L
 from relweave.operators import quality as Q
-from relweave.operators.spec import TableSpec, cast_losses as count_losses, conform
+from relweave.operators.spec import TableSpec, cast_losses as count_losses, conform, curve_place
 from relweave.session import scratch_path
+from relweave.sources import read_json_split
 
 ORDERS = TableSpec.of(
     "orders_copy",
@@ -21,6 +24,7 @@ ORDERS = TableSpec.of(
     primary_key=("o_orderkey",), incremental_key="o_orderdate", sort_key=("o_orderkey",),
 )
 COLUMNS = ", ".join(ORDERS.column_names)
+BUCKETED = replace(ORDERS, buckets=8)
 
 
 class _Target:
@@ -35,7 +39,9 @@ class _Target:
         return L.load_table(self.spark, df, spec, self.name, self.root, mode)
 
     def finish(self) -> DataFrame:
-        result = self.spark.table(self.name).select("*")
+        result = self.spark.table(self.name).drop(L.BUCKET)
+        if L.BUCKET in self.spark.table(self.name).columns:  # its partitions are known to the catalog only
+            result = self.spark.read.schema(result.schema).parquet(*result.inputFiles())
         result.schema  # resolved here, before the name goes away
         self.spark.sql(f"DROP TABLE {self.name}")
         return result
@@ -95,8 +101,8 @@ def _batch_sql(source: str) -> str:
 )
 def load_upsert(t: Tables) -> DataFrame:
     target = _Target(t)
-    target.load(t.orders.where(OLD), ORDERS, "rebuild")
-    target.load(t.spark.sql(_batch_sql("{orders}"), orders=t.orders), ORDERS, "upsert")
+    target.load(t.orders.where(OLD), BUCKETED, "rebuild")
+    target.load(t.spark.sql(_batch_sql("{orders}"), orders=t.orders), BUCKETED, "upsert")
     return target.finish()
 
 
@@ -254,3 +260,88 @@ def profile_strlen(t: Tables) -> DataFrame:
 )
 def profile_table(t: Tables) -> DataFrame:
     return Q.describe(t.customer)
+
+
+KEY_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+KEY_SETS = [c for n in (1, 2, 3) for c in combinations(KEY_COLUMNS, n)]
+
+
+def _is_key(columns) -> str:
+    return "k_" + "_".join(str(KEY_COLUMNS.index(c)) for c in columns)
+
+
+@query(
+    "WITH counted AS (SELECT "
+    + ", ".join(f"count(DISTINCT ({', '.join(s)},)) = count(*) AS {_is_key(s)}" for s in KEY_SETS)
+    + " FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{','.join(s)}' AS columns, CAST({len(s)} AS INTEGER) AS width FROM counted WHERE {_is_key(s)}"
+        + "".join(f" AND NOT {_is_key(part)}" for n in range(1, len(s)) for part in combinations(s, n))
+        for s in KEY_SETS
+    )
+)
+def candidate_keys(t: Tables) -> DataFrame:
+    return Q.candidate_keys(t.lineitem, KEY_COLUMNS, 3)
+
+
+DEPENDENT = ("n_name", "n_regionkey", "c_acctbal", "c_mktsegment", "zone")
+PLACED_SQL = "SELECT *, CASE WHEN c_custkey % 3 > 0 THEN n_regionkey END AS zone FROM customer JOIN nation ON c_nationkey = n_nationkey"
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS n_groups, count(*) FILTER (low <> high OR (0 < n AND n < n_rows)) AS n_varying FROM "
+        f"(SELECT min({c}) AS low, max({c}) AS high, count({c}) AS n, count(*) AS n_rows FROM ({PLACED_SQL}) GROUP BY c_nationkey)"
+        for c in DEPENDENT
+    )
+)
+def dependency_violations(t: Tables) -> DataFrame:
+    placed = t.spark.sql(PLACED_SQL.replace("customer", "{customer}").replace("JOIN nation", "JOIN {nation}"), customer=t.customer, nation=t.nation)
+    return Q.dependency_violations(placed, ["c_nationkey"], DEPENDENT)
+
+
+LINE_SQL = (
+    "'{\"c_custkey\":' || CAST(c_custkey AS {text}) || CASE WHEN c_custkey % 11 = 0 THEN ',\"c_name\":' "
+    "WHEN c_custkey % 13 = 0 THEN ',\"c_nationkey\":\"none\"}}' ELSE ',\"c_name\":\"' || c_name || '\"}}' END"
+)
+
+
+def _line_sql(kind: str) -> str:
+    return LINE_SQL.replace("{text}", kind).replace("}}", "}")
+
+
+@query(
+    f"SELECT CASE WHEN bad THEN NULL ELSE c_custkey END AS c_custkey, CASE WHEN bad THEN NULL ELSE c_name END AS c_name, CASE WHEN bad THEN line END AS line "
+    f"FROM (SELECT *, c_custkey % 11 = 0 OR c_custkey % 13 = 0 AS bad, {_line_sql('VARCHAR')} AS line FROM customer)"
+)
+def json_rejects(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "lines")
+    t.customer.selectExpr(f"{_line_sql('STRING')} AS value").write.text(path)
+    rows, rejected = read_json_split(t.spark, path, "c_custkey long, c_name string, c_nationkey int")
+    return rows.drop("c_nationkey").unionByName(rejected, allowMissingColumns=True)
+
+
+CURVE_COLUMNS, CURVE_BITS = ("o_custkey", "o_totalprice"), 4
+CURVE_RANGES = {
+    c: "[" + ", ".join(f"quantile_disc({c}, {i / (1 << CURVE_BITS)})" for i in range(1, 1 << CURVE_BITS)) + "]" for c in CURVE_COLUMNS
+}
+
+
+@query(
+    "WITH bounds AS (SELECT " + ", ".join(f"{ranges} AS {c}_ranges" for c, ranges in CURVE_RANGES.items()) + " FROM orders), "
+    "placed AS (SELECT o_orderkey, " + ", ".join(f"len(list_filter({c}_ranges, lambda b: b <= {c})) AS {c}_n" for c in CURVE_COLUMNS)
+    + " FROM orders, bounds) SELECT o_orderkey, CAST("
+    + " + ".join(
+        f"(({c}_n >> {bit}) & 1) * {1 << (bit * len(CURVE_COLUMNS) + len(CURVE_COLUMNS) - 1 - i)}"
+        for i, c in enumerate(CURVE_COLUMNS) for bit in range(CURVE_BITS)
+    )
+    + " AS BIGINT) AS place FROM placed"
+)
+def layout_interleaved(t: Tables) -> DataFrame:
+    # an accuracy above the number of rows makes the quantiles exact, as the SQL has them
+    return t.orders.select("o_orderkey", curve_place(t.orders, CURVE_COLUMNS, CURVE_BITS, accuracy=10_000_000).alias("place"))
+
+
+@query(None)
+def profile_sample(t: Tables) -> DataFrame:
+    return Q.sample_rows(t.lineitem, 20)

@@ -246,6 +246,16 @@ def dense_key(t: Tables) -> DataFrame:
     return D.extract_dimension(t.lineitem, ["l_orderkey", "l_linenumber"], "id", style="dense")
 
 
+@query(
+    "WITH old AS (SELECT p_name, row_number() OVER (ORDER BY p_name) AS id FROM (SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0)), "
+    "late AS (SELECT DISTINCT p_name FROM part WHERE p_name NOT IN (SELECT p_name FROM old)) SELECT * FROM old UNION ALL "
+    "SELECT p_name, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY p_name) FROM late"
+)
+def dense_key_stable(t: Tables) -> DataFrame:
+    issued = D.extract_dimension(t.part.where("p_partkey % 3 = 0"), ["p_name"], "id", style="dense")
+    return D.extend_keys(issued, t.part, ["p_name"], "id")
+
+
 TIP_SQL = (
     "SELECT user_id, business_id, text, TRY_CAST(date AS TIMESTAMP) AS ts, compliment_count FROM "
     f"({shape_sql(S.TIP, S.TIP_FROM)})"

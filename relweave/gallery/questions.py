@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from relweave.gallery.registry import Tables, query
 from relweave.gallery.shapes import money_sql
+from relweave.operators.aggregate import mean_state, means, merge_means
+from relweave.operators.dimension import extract_dimension, foreign_key
 from relweave.plans import analytics as Q
 from relweave.session import materialise
 
@@ -95,6 +97,32 @@ def popular_when_hot(t: Tables) -> DataFrame:
     return Q.popular_when_hot(_reviews(t), _businesses(t), _addresses(t), _weather(t), 60.0, 20)
 
 
+@query(
+    f"WITH hot AS (SELECT city_id, date FROM ({DAY_MEAN_SQL}) WHERE avg_temperature >= 60) SELECT user_id AS business_id, count(*) AS n_reviews "
+    "FROM events JOIN customer ON user_id = c_custkey JOIN hot ON c_nationkey = city_id AND CAST(ts AS DATE) = date "
+    "WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1 ORDER BY n_reviews DESC, business_id LIMIT 20"
+)
+def popular_restaurants_when_hot(t: Tables) -> DataFrame:
+    # market segments are the categories
+    categories = extract_dimension(t.customer.selectExpr("c_mktsegment AS category"), ["category"], "category_id")
+    member_of = t.customer.select(F.col("c_custkey").alias("business_id"), foreign_key(["c_mktsegment"]).alias("category_id"))
+    among = Q.businesses_in(member_of, categories, ["BUILDING", "MACHINERY"])
+    return Q.popular_when_hot(_reviews(t), _businesses(t), _addresses(t), _weather(t), 60.0, 20, among)
+
+
+STARS_SQL = f"{money_sql('o_totalprice')} / count(o_totalprice)"
+
+
+@query(f"SELECT o_custkey AS city_id, {STARS_SQL} AS avg_stars, count(o_totalprice) AS n FROM orders GROUP BY 1")
+def avg_stars_incremental(t: Tables) -> DataFrame:
+    rated = t.orders.selectExpr("o_custkey AS city_id", "o_totalprice AS stars", "o_orderdate AS ts")
+    days = ["ts < TIMESTAMP_NTZ '1996-01-01'", "ts >= TIMESTAMP_NTZ '1996-01-01' AND ts < TIMESTAMP_NTZ '2000-01-01'", "ts >= TIMESTAMP_NTZ '2000-01-01'"]
+    state = materialise(mean_state(rated.where(days[0]), ["city_id"], "stars"), "means")
+    for day in days[1:]:
+        state = materialise(merge_means(state, rated.where(day), ["city_id"], "stars"), "means")
+    return means(state, "avg_stars")
+
+
 @query(
     "SELECT event_id AS review_id, user_id AS business_id, ts, c_nationkey AS city_id, avg_temperature, weather_description "
     "FROM events LEFT JOIN customer ON user_id = c_custkey "

@@ -38,6 +38,28 @@ def group_count(df: DataFrame, by: Sequence[str], into: str = "count") -> DataFr
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(into))
 
 
+def mean_state(df: DataFrame, by: Sequence[str], value: str, scale: int = 2) -> DataFrame:
+    """``by``, exact ``total`` and ``n`` of the values: what is kept of rows to bring their mean up to date."""
+    total = F.sum(as_column(value).cast(f"decimal(18,{scale})")).cast(f"decimal(38,{scale})")
+    return df.groupBy(*by).agg(total.alias("total"), F.count(value).alias("n"))
+
+
+def merge_means(state: DataFrame, delta: DataFrame, by: Sequence[str], value: str, scale: int = 2) -> DataFrame:
+    """The state of old and new rows together, from the old state and the new rows only.
+
+    Decimal sums are exact, so it equals the state made from all rows, in whatever parts they came. Rows of
+    ``delta`` must be new; :func:`relweave.operators.load.load_table` applies a batch once.
+    """
+    both = state.unionByName(mean_state(delta, by, value, scale))
+    return both.groupBy(*by).agg(F.sum("total").cast(f"decimal(38,{scale})").alias("total"), F.sum("n").alias("n"))
+
+
+def means(state: DataFrame, into: str) -> DataFrame:
+    """The mean per group of a state; NULL for a group without values."""
+    mean_of = F.col("total").cast("double") / F.nullif("n", F.lit(0))
+    return state.select(*[c for c in state.columns if c not in ("total", "n")], mean_of.alias(into), "n")
+
+
 def mode_per_group(df: DataFrame, by: Sequence[str], value: str, ignore_nulls: bool = True) -> DataFrame:
     """Most frequent value per group; among equally frequent ones the smallest wins.
 

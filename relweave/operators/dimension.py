@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,20 @@ def dense_key(df: DataFrame, order: Sequence[str], into: str) -> DataFrame:
     return numbered.select(*df.columns, (F.col("_start") + position + 1).alias(into))
 
 
+def extend_keys(registry: DataFrame, names: DataFrame, order: Sequence[str], into: str) -> DataFrame:
+    """``registry`` and the ``names`` it lacks, numbered on from its last key.
+
+    Keys that were issued stay: only new names are sorted and numbered. NULL equals NULL, repeats count once.
+    The result is the registry of the next call and should be stored.
+    """
+    known = registry.select(*[F.col(c).alias(f"_known_{c}") for c in order])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in order])
+    fresh = names.select(*order).distinct().join(known, same, "left_anti")
+    last = registry.agg(F.coalesce(F.max(into), F.lit(0))).scalar()
+    numbered = dense_key(fresh, order, into).withColumn(into, (F.col(into) + last).cast("long"))
+    return registry.select(*order, into).unionByName(numbered)
+
+
 def extract_dimension(
     df: DataFrame, columns: Sequence[str], into: str, style: str = "content"
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,6 +179,76 @@ def foreign_key_violations(tables: Mapping[str, DataFrame], spec: TableSpec) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+SKETCH_BITS, SKETCH_ERROR = 12, 0.016  # size and relative standard deviation of the sketches that reject column sets
+SKETCH_MARGIN = 6  # standard deviations a count may lie below the rows and still be looked at
+
+
+def candidate_keys(df: DataFrame, columns: Sequence[str], width: int = 2) -> DataFrame:
+    """``columns, width`` of every smallest set of up to ``width`` columns in which no two rows are equal.
+
+    One pass takes sketches of the distinct counts of all sets; those far below the number of rows are no keys.
+    What is left is counted exactly, all sets of one width in one job, and sets that hold a key are left out.
+    NULL counts as a value. An empty table has the keys of one column each.
+    """
+    sets = [s for n in range(1, width + 1) for s in combinations(columns, n)]
+
+    def values(chosen: Sequence[str]) -> Column:
+        return F.struct(*[quoted(c) for c in chosen])
+
+    def sketch(chosen: Sequence[str]) -> Column:
+        # a hash skips NULLs, so each value is hashed with whether it is one
+        hashed = F.xxhash64(*[x for c in chosen for x in (quoted(c).isNull(), quoted(c))])
+        return F.hll_sketch_estimate(F.hll_sketch_agg(hashed, SKETCH_BITS))
+
+    sketches = df.agg(F.count(F.lit(1)).alias("n"), *[sketch(s).alias(f"_{i}") for i, s in enumerate(sets)]).first()
+    least = sketches.n * (1 - SKETCH_MARGIN * SKETCH_ERROR)
+    possible = [s for i, s in enumerate(sets) if sketches[f"_{i}"] >= least]
+    found: list[tuple[str, ...]] = []
+    for n in range(1, width + 1):
+        level = [s for s in possible if len(s) == n and not any(set(key) <= set(s) for key in found)]
+        if level:
+            exact = df.agg(*[F.count_distinct(values(s)).alias(f"_{i}") for i, s in enumerate(level)]).first()
+            found += [s for i, s in enumerate(level) if exact[f"_{i}"] == sketches.n]
+    rows = [(",".join(s), len(s)) for s in found]  # at most as many as there are sets
+    return df.sparkSession.createDataFrame(rows, "columns string, width int")
+
+
+def dependency_violations(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """``column, n_groups, n_varying``: in how many groups of ``by`` a column has more than one value.
+
+    A column with none follows from ``by``. One aggregate finds the spread of all columns; NULL beside a
+    value counts as varying. Maps have no order and are compared by their hash.
+    """
+    columns = [c for c in df.columns if c not in by] if columns is None else list(columns)
+    compared = {c: F.xxhash64(F.to_json(quoted(c))) if isinstance(df.schema[c].dataType, T.MapType) else quoted(c) for c in columns}
+    spread = df.groupBy(*[quoted(c) for c in by]).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.struct(F.min(v).alias("low"), F.max(v).alias("high"), F.count(v).alias("n")).alias(f"_{i}") for i, v in enumerate(compared.values())],
+    )
+    varying = [
+        F.count_if((F.col(f"_{i}.low") != F.col(f"_{i}.high")) | ((F.col(f"_{i}.n") > 0) & (F.col(f"_{i}.n") < F.col("_rows")))).alias(f"_{i}")
+        for i in range(len(columns))
+    ]
+    totals = spread.agg(F.count(F.lit(1)).alias("n_groups"), *varying)
+    rows = [F.struct(F.lit(c).alias("column"), F.col("n_groups"), F.col(f"_{i}").alias("n_varying")) for i, c in enumerate(columns)]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def sample_rows(df: DataFrame, k: int = 20) -> DataFrame:
+    """Up to ``k`` rows of the table, the same ones however it is partitioned, in one pass.
+
+    Every row falls into one of ``k`` parts by its hash, and the row of the smallest hash of each is taken;
+    an aggregate of ``k`` rows, whatever the size of the table. Of equal rows one counts. Maps have no
+    hash; convert them first.
+    """
+    every = [quoted(c) for c in df.columns]
+    draw = F.xxhash64(*every)
+    part = F.pmod(F.xxhash64(draw, F.lit("part")), F.lit(k))
+    first = df.agg(*[F.min(F.when(part == i, F.struct(draw.alias("_draw"), F.struct(*every).alias("_row")))).alias(f"_{i}") for i in range(k)])
+    taken = first.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(k)])).alias("_taken")).where(F.col("_taken").isNotNull())
+    return taken.select("_taken._row.*")
+
+
 def length_violations(df: DataFrame, bounds: Mapping[str, int] | TableSpec) -> DataFrame:
     """``column, bound, max_length, passed`` for every bounded text column, in one pass."""
     if isinstance(bounds, TableSpec):

@@ -50,10 +50,22 @@ def ratings_population_correlation(pairs: DataFrame) -> DataFrame:
     )
 
 
+def businesses_in(business_categories: DataFrame, categories: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``business_id`` of the businesses in one of the named categories; a business may come more than once."""
+    wanted = categories.where(F.col("category").isin(list(names))).select("category_id")
+    return business_categories.join(wanted, "category_id", "left_semi").select("business_id")
+
+
 def popular_when_hot(
-    reviews: DataFrame, businesses: DataFrame, addresses: DataFrame, city_weather: DataFrame, min_temperature: float, k: int
+    reviews: DataFrame, businesses: DataFrame, addresses: DataFrame, city_weather: DataFrame, min_temperature: float, k: int,
+    among: DataFrame | None = None,
 ) -> DataFrame:
-    """The ``k`` businesses with most reviews on days at least that hot in their city."""
+    """The ``k`` businesses with most reviews on days at least that hot in their city.
+
+    ``among`` restricts them to its ``business_id``, such as the restaurants by :func:`businesses_in`.
+    """
+    if among is not None:
+        businesses = businesses.join(among.select("business_id"), "business_id", "left_semi")
     hot_days = city_weather.where(F.col("avg_temperature") >= min_temperature).select("city_id", "date").distinct()
     per_day = reviews.groupBy("business_id", F.col("ts").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
     located = per_day.join(business_city(businesses, addresses), "business_id")

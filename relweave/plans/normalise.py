@@ -211,5 +211,4 @@ def city_weather(
     return (
         mean.join(mode, ["city", "date"]).join(known, "city")
         .select(parse_date("date").alias("date"), "avg_temperature", "weather_description", "city_id")
-        .distinct()
     )

@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from relweave.session import materialise
+
 
 def read_json(
     spark: SparkSession,
@@ -25,6 +28,23 @@ def read_json(
     return reader.json(path)
 
 
+REJECTED = "_rejected"
+
+
+def read_json_split(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): the lines that fit the schema, and the text of those that do not.
+
+    The lines are parsed once into a written table that both are read from, so together they are all lines
+    of the input. A line whose values cannot be converted is rejected whole; blank lines are no lines.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kept = T.StructType([*declared.fields, T.StructField(REJECTED, T.StringType())])
+    parsed = spark.read.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).json(path)
+    parsed = materialise(parsed, "json-lines")
+    rejected = F.col(REJECTED).isNotNull()
+    return parsed.where(~rejected).drop(REJECTED), parsed.where(rejected).select(F.col(REJECTED).alias("line"))
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
