@@ -26,7 +26,9 @@ from relweave.llm.exact_dedup import quoted
 from relweave.llm.words import chunks
 
 CHUNK_BYTES = 1 << 20
-CACHE_PIECES = 300_000
+CACHE_BYTES = 16 << 20  # of a generation of the cache, with what Python needs to hold a piece
+_PIECE_BYTES = 200
+_SLICE = 512  # rows that are worked on together
 _ROW = 64
 
 # symbols: letter, number, other; apostrophe of a contraction with one or two letters; white space inside or
@@ -147,25 +149,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder(dict):
     """Piece of text to its ids as little-endian 32-bit bytes; itself the cache of merged pieces.
 
-    The cache has two generations of at most ``CACHE_PIECES`` pieces, so that common pieces survive
-    when rare ones go; a longer piece than 64 characters is not kept.
+    The cache has two generations of at most ``CACHE_BYTES``, so that common pieces survive when rare
+    ones go; a longer piece than 64 characters is not kept.
     """
 
     def __init__(self, ranks: dict[bytes, int], classes: np.ndarray):
         super().__init__()
-        self.ranks, self.classes, self.older = ranks, classes, {}
+        self.ranks, self.classes, self.older, self.held = ranks, classes, {}, 0
+        self.tokens = tokens_by_rank(ranks)
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
             ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
         if len(piece) <= 64:
-            if len(self) >= CACHE_PIECES:
+            if self.held >= CACHE_BYTES:
                 self.older = dict(self)
                 self.clear()
+                self.held = 0
             self[piece] = ids
+            self.held += _PIECE_BYTES + len(piece) + len(ids)
         return ids
 
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def merge(self, piece: bytes) -> list[int]:
         """Always merge the pair of lowest rank, the leftmost of equals, until none is left."""
         whole = self.ranks.get(piece)
@@ -257,6 +265,13 @@ def _safe_spans(text: str, limit: int) -> list[str]:
     return spans
 
 
+def tokens_by_rank(ranks: dict[bytes, int]) -> list[bytes | None]:
+    out: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
 _worker: dict[tuple, Encoder] = {}
 
 
@@ -268,11 +283,13 @@ def _encoder(key: tuple, ranks, classes) -> Encoder:
     return _worker[key]
 
 
-def encode(docs: DataFrame, ranks_path: str, text: str = "text", carry: Sequence[str] = ("doc_id",), offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, text: str = "text", carry: Sequence[str] = ("doc_id",), offsets: bool = False, decoded: bool = False) -> DataFrame:
     """One row per document: ``row`` (struct of ``carry``) and ``ids`` (binary, 32-bit little-endian each).
 
-    ``offsets`` adds the byte offset of every id's bytes in the UTF-8 text. NULL and empty texts have no
-    ids. A very long text is cut at safe places, so memory follows ``CHUNK_BYTES`` and not the text.
+    ``offsets`` adds the byte offset of every id's bytes in the UTF-8 text, ``decoded`` the ``bytes`` that the
+    ids stand for, as :func:`decode` gives them, in the same pass. NULL and empty texts have no ids. A very
+    long text is cut at safe places, so the working arrays follow ``CHUNK_BYTES`` and not the text; a text
+    without white space has no such place and is worked on whole.
     """
     context = docs.sparkSession.sparkContext
     read = read_ranks(ranks_path)
@@ -282,11 +299,13 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", carry: Sequence
     fields = [given.schema["row"], T.StructField("ids", T.BinaryType())]
     if offsets:
         fields.append(T.StructField("offsets", T.ArrayType(T.LongType())))
+    if decoded:
+        fields.append(T.StructField("bytes", T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, ranks, classes)
         lengths = token_lengths(ranks.value) if offsets else None
-        for batch in batches:
+        for batch in (whole.slice(start, _SLICE) for whole in batches for start in range(0, whole.num_rows, _SLICE)):
             texts = batch.column("text").to_pylist()
             ids = []
             pieces, owner = [], []
@@ -306,6 +325,9 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", carry: Sequence
                 ends = [np.cumsum(lengths[np.frombuffer(x, "<u4")]) for x in ids]
                 columns.append(pa.array([[0, *e[:-1].tolist()] if len(e) else [] for e in ends], pa.list_(pa.int64())))
                 schema.append(pa.field("offsets", pa.list_(pa.int64())))
+            if decoded:
+                columns.append(pa.array(map(encoder.decode, ids), pa.binary()))
+                schema.append(pa.field("bytes", pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(schema))
 
     return given.mapInArrow(run, T.StructType(fields))
@@ -323,7 +345,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("bytes", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        behind = {rank: token for token, rank in ranks.value.items()}.__getitem__
+        behind = tokens_by_rank(ranks.value).__getitem__
         for batch in batches:
             out = [
                 None if x is None else b"".join(map(behind, np.frombuffer(x, "<u4").tolist()))
@@ -340,8 +362,7 @@ def query(spark, folder: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, path), path)
-    return both.select(
+    return encode(docs, path, decoded=True).select(
         "row.doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"),
     )

@@ -60,7 +60,7 @@ def test_safe_spans_change_nothing(encoder, library):
 
 
 def test_cache_generations(encoder, library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CACHE_PIECES", 5)
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 1000)
     fresh = byte_bpe.Encoder(encoder.ranks, encoder.classes)
     text = " ".join(f"pseudoword{i} antidis{i % 3}" for i in range(60))
     assert ids_of(fresh, [text, text]) == [library.encode_ordinary(text)] * 2

@@ -217,6 +217,8 @@ def test_round_trip(spark, edge, empty):
         text = (r.row.text or "").encode()
         assert r["bytes"] == text and len(r.offsets) == len(r.ids) // 4
         assert r.offsets == sorted(r.offsets) and (not r.offsets or r.offsets[0] == 0)
+    both = byte_bpe.encode(edge, path, carry=["text"], decoded=True).collect()
+    assert sorted((bytes(r.ids), bytes(r["bytes"])) for r in both) == sorted((bytes(r.ids), bytes(r["bytes"])) for r in rows)
     assert byte_bpe.encode(empty, path).count() == 0
 
 
