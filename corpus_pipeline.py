@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relweave.llm.byte_bpe import decode, encode
+from relweave.llm.byte_bpe import encode
 from relweave.llm.decontamination import decontaminate
 from relweave.llm.exact_dedup import exact_dedup
 from relweave.llm.jaccard_join import near_dedup
@@ -42,8 +42,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = decode(encode(docs, path), path)
-    return both.select(
+    return encode(docs, path, decoded=True).select(
         "row.doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"),
     )
