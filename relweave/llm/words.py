@@ -6,11 +6,13 @@ whole arrays, so the cost per word is some tens of nanoseconds whatever the text
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
 
@@ -91,6 +93,16 @@ def find_words(texts: Sequence[bytes | None], inside: np.ndarray, lower: bool =
     return Words(joined + b"\0" * 8, start, end, np.searchsorted(start, text_start), text_start)
 
 
+_libc = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from stage to stage, and all count for their executor."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):  # glibc only
+        _libc.malloc_trim(0)
+
+
 def chunks(texts: Sequence[bytes | str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` bytes together, so that the arrays stay small; a longer text is alone."""
     start, size = 0, 0
@@ -102,6 +114,7 @@ def chunks(texts: Sequence[bytes | str | None], limit: int = CHUNK_BYTES) -> Ite
         size += n
     if start < len(texts):
         yield start, len(texts)
+    give_back()
 
 
 def runs_hash(values: np.ndarray, n: int) -> np.ndarray:
