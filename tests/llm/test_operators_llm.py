@@ -328,6 +328,26 @@ def test_near_passages(spark):
     assert sum(got[i].partner_id == i ^ 1 for i in range(400)) >= 394
 
 
+def test_near_passages_behind_a_hub(spark):
+    hub = prose(40, 640)
+    texts = [f"{prose(50, 20000 + i)} {hub} {prose(50, 21000 + i)}" for i in range(300)]
+    for i in range(200):  # each two share twenty words more than all the others, one of the sixty changed
+        words = f"{hub} {prose(20, 22000 + i)}".split()
+        texts.append(" ".join([prose(30, 23000 + i), *words, prose(30, 24000 + i)]))
+        words[(7 * i) % 60] = "changed"
+        texts.append(" ".join([prose(25, 25000 + i), *words, prose(35, 26000 + i)]))
+    got = {r.id: r for r in substring_dedup.repeated_passages(documents(spark, texts)).collect()}
+    assert sum(got[i].partner_id == i ^ 1 for i in range(300, 700)) >= 360
+    assert not any(got[i].spans for i in range(300))
+
+
+def test_open_windows():
+    windows = [(60, 10, 45), (10, 10, 80), (140, 45, 5)]
+    for spans in ([], [(0, 99)], [(0, 60)], [(90, 199)], [(0, 199)]):
+        one_by_one = [len(substring_dedup.open_passages(200, [w], spans)) > 0 for w in windows]
+        assert substring_dedup.open_windows(200, windows, spans).tolist() == one_by_one
+
+
 def test_passages_of_nothing(empty):
     assert substring_dedup.repeated_passages(empty).count() == 0
 
