@@ -13,6 +13,7 @@ from relweave.functions.values import (
     parse_flag_dict,
     parse_flags,
     parse_hours,
+    parse_literal,
     slugify,
     split_list,
     text_to,
@@ -32,6 +33,7 @@ __all__ = [
     "parse_flag_dict",
     "parse_flags",
     "parse_hours",
+    "parse_literal",
     "parse_timestamp",
     "slugify",
     "split_list",

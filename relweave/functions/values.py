@@ -99,6 +99,37 @@ def flag_of(words: Column, key: str) -> Column:
     return _flag(words.getField(key))
 
 
+def parse_literal(col: Column | str) -> Column:
+    """Python literal text to ``VARIANT``: numbers, texts, flags, and lists, tuples and dictionaries of them.
+
+    The text is cut into quoted and other pieces. Quoted ones are written with JSON's quotes and escapes; in the
+    others ``True``, ``False`` and ``None`` get JSON's names, tuples become lists, and closing commas go.
+    ``None`` gives a variant null. What is no literal, a bare word, a key that is no text, a repeated key or an
+    escape that JSON has no form for gives NULL, as do NULL and empty text.
+    """
+    pieces = F.regexp_extract_all(as_column(col), F.lit(f"{QUOTED}|[^'\"]++|['\"]"), F.lit(0))
+
+    def text(piece: Column) -> Column:
+        inner = F.substring(piece, F.lit(2), F.length(piece) - 2)
+        inner = F.regexp_replace(inner, r"(\\\\)|\\(')", "$1$2")
+        inner = F.regexp_replace(inner, r'((?:\\\\)*+)\\?"', r'$1\\"')
+        return F.concat(F.lit('"'), inner, F.lit('"'))
+
+    def other(piece: Column) -> Column:
+        plain = F.regexp_replace(F.translate(piece, "()", "[]"), r"\bu$", "")
+        for word, name in (("True", "true"), ("False", "false"), ("None", "null")):
+            plain = F.regexp_replace(plain, rf"\b{word}\b", name)
+        return F.regexp_replace(plain, r",\s*+([\]}])", "$1")
+
+    def is_text(piece: Column) -> Column:
+        return (F.length(piece) > 1) & piece.rlike("^['\"]")
+
+    json = F.array_join(F.transform(pieces, lambda p: F.when(is_text(p), text(p)).otherwise(other(p))), "")
+    # the parser stops after one value; inside an array it has to read on, and a second one is seen
+    one = F.try_parse_json(F.concat(F.lit("["), json, F.lit("]")))
+    return F.when(F.try_variant_get(one, "$[1]", "variant").isNull(), F.try_variant_get(one, "$[0]", "variant"))
+
+
 def split_list(col: Column | str, protected: Sequence[str] = (), pattern: str = r",\s*") -> Column:
     """Delimited text to an array without empty items; NULL gives an empty array.
 

@@ -114,6 +114,31 @@ def undeclared_keys(t: Tables) -> DataFrame:
     return N.undeclared_keys(_labelled(t), "labels", ["brand"])
 
 
+LITERAL_FIELDS = {
+    "name": "string", "size": "int", "large": "boolean", "none": "string", "tags": "array<string>", "deep": "struct<k: array<int>, t: string>",
+    "type": "int",
+}
+
+
+@query(
+    "SELECT p_partkey, p_name AS raw_name, CAST(p_size AS INTEGER) AS raw_size, p_size > 25 AS raw_large, CAST(NULL AS VARCHAR) AS raw_none, "
+    f"p_brand || ',O' || {QUOTE} || 'x ' || chr(34) || 'y' || chr(34) AS raw_tags, CAST(p_size + 1 AS INTEGER) AS raw_deep, "
+    "CAST(NULL AS INTEGER) AS raw_type FROM part"
+)
+def literal_values(t: Tables) -> DataFrame:
+    def put(*pieces):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
+
+    size = F.col("p_size").cast("string")
+    large = F.when(F.col("p_size") > 25, F.lit("True")).otherwise(F.lit("False"))
+    raw = put(
+        "{'name': u'", F.col("p_name"), "', 'size': ", size, ", 'large': ", large, ", 'none': None, 'tags': ['", F.col("p_brand"),
+        "', \"O'x \\\"y\\\"\",], 'deep': {'k': (", size, ", ", (F.col("p_size") + 1).cast("string"), "), 't': 'None'}, 'type': '", F.col("p_type"), "'}",
+    )
+    wide = N.literals_to_columns(t.part.select("p_partkey", raw.alias("raw")), "raw", LITERAL_FIELDS)
+    return wide.withColumns({"raw_tags": F.array_join("raw_tags", ","), "raw_deep": F.col("raw_deep.k")[1]})
+
+
 ATTRIBUTES_SQL = (
     "SELECT business_id, "
     + ", ".join(

@@ -25,7 +25,7 @@ def mean(col: Column | str, scale: int | None = None) -> Column:
 
 
 def exact_sum(col: Column | str, scale: int = 2) -> Column:
-    """Sum in decimal arithmetic, as double."""
+    """Sum in decimal arithmetic, as double. Values are rounded to ``scale`` digits first, two unless told otherwise."""
     return F.sum(as_column(col).cast(f"decimal(18,{scale})")).cast("double")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relweave.functions.values import JSON_OPTIONS, as_column, dict_text_to_json, flag_of, parse_flags
+from relweave.functions.values import JSON_OPTIONS, as_column, dict_text_to_json, flag_of, parse_flags, parse_literal
 
 
 def expand_struct(df: DataFrame, struct: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -50,9 +50,15 @@ def undeclared_values(df: DataFrame, column: str, declared: Sequence[str]) -> Da
     return rest.groupBy(quoted(column).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+MOST_COLUMNS = 10_000
+
+
 def _sorted_keys(keys: DataFrame) -> list:
-    """The keys as column names: as many as the wide output has columns."""
-    return sorted(row.key for row in keys.select("key").collect())
+    """The keys as column names. More than ``MOST_COLUMNS`` are refused: use :func:`map_long` for them."""
+    found = sorted(row.key for row in keys.select("key").limit(MOST_COLUMNS + 1).collect())
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} keys make no columns; declare the wanted ones or keep them as rows")
+    return found
 
 
 def column_name_for(prefix: str, key: str) -> str:
@@ -85,6 +91,19 @@ def flag_dicts_to_columns(df: DataFrame, columns: Mapping[str, Sequence[str] | N
     return parsed.select(*others, *flags)
 
 
+def literals_to_columns(df: DataFrame, column: str, fields: Mapping[str, str]) -> DataFrame:
+    """Replace Python literal text by one typed column per field, named ``<column>_<key>``; ``fields`` gives the types.
+
+    A field that is missing, or whose value does not fit its type, is NULL by itself. The text is parsed once.
+    """
+    kept = [quoted(c) for c in df.columns if c != column]
+    parsed = df.select(*kept, parse_literal(quoted(column)).alias(column))
+    path = {k: f'$["{k}"]' if "'" in k else f"$['{k}']" for k in fields}  # a key with both quotes has no path
+    return parsed.select(
+        *kept, *[F.try_variant_get(quoted(column), path[k], kind).alias(column_name_for(column, k)) for k, kind in fields.items()]
+    )
+
+
 def keys_in_text(df: DataFrame, column: str) -> DataFrame:
     """``key, n_rows`` of dictionary text."""
     # a map of strings accepts any value, so a malformed one cannot hide the other keys
@@ -92,6 +111,12 @@ def keys_in_text(df: DataFrame, column: str) -> DataFrame:
     return distinct_keys(df.select(as_map.alias("entries")), "entries")
 
 
+def undeclared_keys_in_text(df: DataFrame, column: str, declared: Sequence[str]) -> DataFrame:
+    """``key, n_rows`` of the dictionary text's keys that a wide output of the ``declared`` ones leaves out."""
+    found = keys_in_text(df, column)
+    return found.where(~F.col("key").isin(*declared)) if declared else found
+
+
 def explode_array(df: DataFrame, column: Column | str, into: str, keep: Sequence[str], outer: bool = False) -> DataFrame:
     """One row per array item; ``outer`` keeps a row for an empty or NULL array."""
     generate = F.explode_outer if outer else F.explode

@@ -172,14 +172,34 @@ def read_specs(path: str | Path, spark=None) -> dict[str, TableSpec]:
     return {spec.name: spec for spec in map(TableSpec.from_dict, entries)}
 
 
-def load_order(specs: Iterable[TableSpec]) -> list[str]:
-    """Table names with every referenced table before the tables that reference it."""
+def _references(specs: Iterable[TableSpec]) -> dict[str, list[str]]:
     specs = {s.name: s for s in specs}
-    graph = {
+    return {
         name: sorted({fk.ref_table for fk in s.foreign_keys if fk.ref_table in specs} - {name})
         for name, s in specs.items()
     }
-    return list(TopologicalSorter(graph).static_order())
+
+
+def load_order(specs: Iterable[TableSpec]) -> list[str]:
+    """Table names with every referenced table before the tables that reference it."""
+    return list(TopologicalSorter(_references(specs)).static_order())
+
+
+def load_steps(specs: Iterable[TableSpec]) -> list[list[str]]:
+    """Table names in groups: no table references one of its own group or of a later one."""
+    return ready_steps(_references(specs))
+
+
+def ready_steps(needs: Mapping[str, Iterable[str]]) -> list[list[str]]:
+    """Names in groups, each name after all it needs."""
+    order = TopologicalSorter(needs)
+    order.prepare()
+    steps = []
+    while order.is_active():
+        ready = sorted(order.get_ready())
+        steps.append(ready)
+        order.done(*ready)
+    return steps
 
 
 def stored_columns(spark, table: str) -> list[tuple[str, str]]:

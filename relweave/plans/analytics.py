@@ -34,11 +34,17 @@ def stars_by_city(reviews: DataFrame, businesses: DataFrame, addresses: DataFram
     return lookup(rated, cities, ["city_id"], ["city"], "inner").select("city_id", "city", "avg_stars", "n_ratings")
 
 
-def ratings_and_population(reviews: DataFrame, businesses: DataFrame, addresses: DataFrame, cities: DataFrame) -> DataFrame:
-    """``city_id, n_ratings, total_population`` of every city with both."""
+def ratings_and_population(
+    reviews: DataFrame, businesses: DataFrame, addresses: DataFrame, cities: DataFrame, unrated: bool = False
+) -> DataFrame:
+    """``city_id, n_ratings, total_population`` of every city with both; with ``unrated`` also of those without a rating, as 0."""
     per_business = reviews.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
     located = per_business.join(business_city(businesses, addresses), "business_id")
     per_city = located.groupBy("city_id").agg(F.sum("n").alias("n_ratings"))
+    if unrated:
+        known = cities.where(F.col("total_population").isNotNull()).groupBy("city_id").agg(F.first("total_population").alias("total_population"))
+        rated = known.join(per_city, "city_id", "left")
+        return rated.select("city_id", F.coalesce("n_ratings", F.lit(0)).cast("long").alias("n_ratings"), "total_population")
     joined = lookup(per_city, cities, ["city_id"], ["total_population"], "inner")
     return joined.where(F.col("total_population").isNotNull())
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from graphlib import TopologicalSorter
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from relweave.functions import slugify
 from relweave.operators.load import load_table
+from relweave.operators.nested import expand_struct, undeclared_keys_in_text, undeclared_values
 from relweave.operators.quality import ValueCheck, foreign_key_violations, primary_key_violations, run_checks
-from relweave.operators.spec import TableSpec, conform, lay_out, load_order
+from relweave.operators.spec import TableSpec, conform, lay_out, load_order, load_steps, ready_steps
 from relweave.plans import normalise as N
+from relweave.plans import vocabulary as V
 from relweave.plans.schemas import SOURCES, source_schema, target_specs
 from relweave.sources import read_csv, read_parquet, stage_json, write_parquet
 
@@ -100,14 +102,7 @@ LOOKUPS = {
 def build_steps(names: Iterable[str], keys: str = "content") -> list[list[str]]:
     """Tables in groups that can be built side by side."""
     names = set(names)
-    order = TopologicalSorter({n: LOOKUPS[keys].get(n, set()) & names for n in sorted(names)})
-    order.prepare()
-    steps = []
-    while order.is_active():
-        ready = sorted(order.get_ready())
-        steps.append(ready)
-        order.done(*ready)
-    return steps
+    return ready_steps({n: LOOKUPS[keys].get(n, set()) & names for n in sorted(names)})
 
 
 def load_tables(
@@ -117,12 +112,18 @@ def load_tables(
     root: str,
     mode: str = "rebuild",
     database: str = "default",
+    workers: int = JOBS_AT_ONCE,
 ) -> dict[str, DataFrame]:
-    """Load built tables into the catalog, referenced tables first."""
-    return {
-        name: load_table(spark, tables[name], specs[name], f"{database}.{name}", f"{root}/{name}", mode)
-        for name in load_order(specs.values())
-    }
+    """Load built tables into the catalog, referenced tables first, tables that do not refer to each other side by side."""
+    loaded: dict[str, DataFrame] = {}
+
+    def load(name: str) -> None:
+        loaded[name] = load_table(spark, tables[name], specs[name], f"{database}.{name}", f"{root}/{name}", mode)
+
+    for step in load_steps(specs.values()):
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(inheritable_thread_target(spark)(load), step))
+    return {name: loaded[name] for name in load_order(specs.values())}
 
 
 def count_checks(expected: Mapping[str, int]) -> list[ValueCheck]:
@@ -130,11 +131,29 @@ def count_checks(expected: Mapping[str, int]) -> list[ValueCheck]:
     return [ValueCheck(f"check_{name}_count", name, n) for name, n in expected.items()]
 
 
+def undeclared(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``key, n_rows`` of the dictionary keys and population groups of the sources that the wide tables have no column for."""
+    results = {}
+    if "business" in sources:
+        attributes = expand_struct(sources["business"], "attributes")
+        for name, keys in V.FLAG_ATTRIBUTES.items():
+            if name in attributes.columns:
+                results[f"business_attributes.{name}.undeclared"] = undeclared_keys_in_text(attributes, name, keys)
+    if "demographics" in sources:
+        races = expand_struct(sources["demographics"], "fields").select(slugify("race").alias("race"))
+        results["cities.race.undeclared"] = undeclared_values(races, "race", V.POPULATION_GROUPS)
+    return results
+
+
 def check_tables(
-    tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], checks: Iterable[ValueCheck] = ()
+    tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], checks: Iterable[ValueCheck] = (),
+    sources: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Lazy results: value checks, duplicate or NULL keys per table, and orphans per reference."""
-    results: dict[str, DataFrame] = {}
+    """Lazy results: value checks, duplicate or NULL keys per table, and orphans per reference.
+
+    With the ``sources`` that the tables were built from, also what no declared column holds.
+    """
+    results = undeclared(sources) if sources else {}
     checks = list(checks)
     if checks:
         results["values"] = run_checks(tables, checks)

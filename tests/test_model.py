@@ -7,7 +7,8 @@ import pytest
 
 from relweave.operators.quality import primary_key_violations
 from relweave.plans import analytics, normalise
-from relweave.plans.pipeline import build_steps, build_tables, check_tables, count_checks, load_tables
+from relweave.operators.spec import load_steps
+from relweave.plans.pipeline import build_steps, build_tables, check_tables, count_checks, load_tables, undeclared
 from relweave.plans.schemas import SOURCES, source_schema, target_specs
 from relweave.plans.vocabulary import PROTECTED_CATEGORIES
 
@@ -194,12 +195,23 @@ def test_checks(built):
     assert orphaned == {("friends", "friend_id")}  # the literal 'None'
 
 
+def test_undeclared_groups_and_keys_are_counted(spark):
+    race = "struct<city: string, state_code: string, race: string, count: int>"
+    people = spark.createDataFrame([(("A", "X", "White", 1),), (("A", "X", "Other Group", 2),), (("B", "X", "Other Group", 3),)], f"fields {race}")
+    parking = spark.createDataFrame([("b", ("{'lot': True, 'roof': False}",)), ("c", (None,))], "business_id string, attributes struct<BusinessParking: string>")
+    found = {name: by(df, "key", "n_rows") for name, df in check_tables({}, {}, sources={"business": parking, "demographics": people}).items()}
+    assert found == {"business_attributes.BusinessParking.undeclared": [("roof", 1)], "cities.race.undeclared": [("other_group", 2)]}
+    assert undeclared({}) == {}
+
+
 def test_questions(built):
     _, t = built
     stars = analytics.stars_by_city(t["reviews"], t["businesses"], t["addresses"], t["cities"])
     assert by(stars, "city", "avg_stars", "n_ratings") == [("Boston", 3.0, 1), ("Phoenix", 4.0, 3), ("Tempe", 1.0, 1)]
     pairs = analytics.ratings_and_population(t["reviews"], t["businesses"], t["addresses"], t["cities"])
     assert by(pairs, "n_ratings", "total_population") == [(3, 1000)]
+    every = analytics.ratings_and_population(t["reviews"].limit(0), t["businesses"], t["addresses"], t["cities"], unrated=True)
+    assert by(every, "n_ratings", "total_population") == [(0, 1000)]
     hot = analytics.popular_when_hot(t["reviews"], t["businesses"], t["addresses"], t["city_weather"], 295, 1)
     assert by(hot, "business_id", "n_reviews") == [("b1", 1)]
     args = (t["reviews"], t["businesses"], t["addresses"], t["city_weather"])
@@ -221,6 +233,16 @@ def test_content_keys_do_not_depend_on_partitioning(spark, paths):
     assert by(normalise.addresses(docs), "address_id") == by(normalise.addresses(docs.repartition(7)), "address_id")
 
 
+def test_load_steps():
+    specs = target_specs()
+    done: set[str] = set()
+    for step in load_steps(specs.values()):
+        for name in step:
+            assert {fk.ref_table for fk in specs[name].foreign_keys} - {name} <= done
+        done |= set(step)
+    assert done == set(specs) and len(load_steps(specs.values())) < 6
+
+
 def test_build_steps():
     names = target_specs()
     assert [len(s) for s in build_steps(names)] == [14, 1]

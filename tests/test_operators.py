@@ -47,6 +47,14 @@ def test_map_keys_are_sorted_renamed_and_bounded(spark, rows):
     assert rows(N.map_long(df, "m", ["k"])) == [(1, "b-c", True), (2, "a", False)]
 
 
+def test_keys_without_bound_make_no_columns(spark, monkeypatch):
+    monkeypatch.setattr(N, "MOST_COLUMNS", 5)
+    df = spark.range(6).select(F.create_map(F.concat(F.lit("k"), F.col("id").cast("string")), F.lit(True)).alias("m"))
+    with pytest.raises(ValueError, match="more than 5 keys"):
+        N.map_to_columns(df, "m")
+    assert len(N.map_to_columns(df.where("id < 5"), "m").columns) == 5
+
+
 def test_any_number_of_keys_in_the_long_form(spark):
     df = spark.range(6000).select(F.create_map(F.concat(F.lit("k"), F.col("id")), F.lit(True)).alias("m"))
     assert N.map_long(df, "m", []).count() == 6000 == N.distinct_keys(df, "m").count()

@@ -1,4 +1,5 @@
 import ast
+import json
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,9 +8,9 @@ from pyspark.sql import functions as F
 
 from relweave.functions import (
     clean_bool, clean_int, clean_number, clean_string, content_key, day_text, parse_date, parse_flag_dict,
-    parse_hours, parse_timestamp, slugify, split_list, text_to,
+    parse_hours, parse_literal, parse_timestamp, slugify, split_list, text_to,
 )
-from relweave.operators.nested import flag_dicts_to_columns
+from relweave.operators.nested import flag_dicts_to_columns, literals_to_columns
 from relweave.plans.vocabulary import PROTECTED_CATEGORIES
 
 
@@ -129,3 +130,34 @@ def test_content_key_separates_every_tuple(spark):
     assert df.select(content_key("a", "b").alias("k")).distinct().count() == len(tuples)
     strict = df.select(content_key("a", "b", null_if_any_null=True).alias("k")).where(F.col("k").isNull()).count()
     assert strict == sum(None in t for t in tuples)
+
+
+LITERAL = st.recursive(
+    st.none() | st.booleans() | st.integers(-10**9, 10**9) | st.text(st.characters(min_codepoint=32, max_codepoint=0x17F, exclude_characters="\x7f\xad"), max_size=8).filter(
+        lambda t: "\\x" not in repr(t)
+    ),
+    lambda inner: st.lists(inner, max_size=3) | st.tuples(inner, inner) | st.dictionaries(st.text("ab'\"u, ", max_size=3), inner, max_size=3),
+    max_leaves=8,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(LITERAL, min_size=30, max_size=60))
+def test_literals_are_what_python_reads(spark, values):
+    got = apply(spark, [repr(v) for v in values], F.to_json(parse_literal("v")))
+    assert [json.loads(g) for g in got] == json.loads(json.dumps(values))
+
+
+def test_texts_that_are_no_literal(spark):
+    texts = [None, "", "word", "{'a': ", "'O", "{1: 2}", "{'a': 1, 'a': 2}", "'a' 'b'", "u'free'", "{u'a': [1,],}", '"it\'s"', "'" + "x" * 100_000 + "'"]
+    got = apply(spark, texts, F.to_json(parse_literal("v")))
+    assert got[:8] == [None] * 8
+    assert [json.loads(g) for g in got[8:]] == ["free", {"a": [1]}, "it's", "x" * 100_000]
+
+
+def test_literal_fields_keep_their_types(spark):
+    df = spark.createDataFrame([(1, "{'a': 2, 'b-c': {'d': [True, None]}, \"o'x\": u'y'}"), (2, "{'a': 'word'}"), (3, None)], "k int, `m.n` string")
+    wide = literals_to_columns(df, "m.n", {"a": "int", "b-c": "struct<d: array<boolean>>", "o'x": "string"})
+    assert wide.columns == ["k", "m.n_a", "m.n_b_c", "m.n_o'x"]
+    rows = sorted(tuple(r) for r in wide.collect())
+    assert rows == [(1, 2, ([True, None],), "y"), (2, None, None, None), (3, None, None, None)]
