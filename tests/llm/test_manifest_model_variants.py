@@ -288,3 +288,31 @@ def test_wrapped_and_reworded_notices(spark, empty):  # noqa: F811
     right = sum(got.get(80 + k) == [family] for k, family in enumerate([*REAL, *REAL]))
     assert right >= 10  # of 12
     assert license_scan.scan(empty).count() == 0
+
+
+def test_lines_without_telling_words_resemble_no_notice(spark):
+    """Every text of half a notice's words has a telling word, whichever half it is."""
+    draw = random.Random(5)
+    texts = []
+    for _, notice in license_scan.NOTICES:
+        words = sorted(set(re.findall(license_scan._WORD, notice.lower())))
+        least = -(-len(words) // 2)
+        texts += [" ".join(["zzz", *draw.sample(words, least)]) for _ in range(30)]
+    texts += ["", "zzz", "this is by the way", "sublicensed", "ALL RIGHTS RESERVED", "allKights reserved"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    alike = license_scan.best_match(license_scan.words_of(F.col("text"))) >= license_scan.LEAST_ALIKE
+    got = rows.select("text", alike.alias("alike"), license_scan.may_match(F.col("text")).alias("may")).collect()
+    assert [r.text for r in got if r.alike and not r.may] == []
+    assert sum(r.alike for r in got) > 30 * len(license_scan.NOTICES)
+    assert not any(r.may for r in got if r.text in ("", "zzz", "this is by the way", "sublicensed"))
+
+
+def test_wrapped_lines(spark):
+    """A break is a blank where the next line goes on; full stops, empty lines and capitals part paragraphs."""
+    cases = {
+        "ends in the\nMIT License": "ends in the MIT License", "goes\n on": "goes  on", "Stop.\nnext": "Stop.\nnext",
+        "a\n\nb": "a\n\nb", "a \t\r\n(b": "a (b", "One\nTwo": "One\nTwo", "one,\n  Two": "one,   Two", "x  \n\n y": "x  \n\n y", "by\nMe": "by\nMe",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "text string, joined string")
+    got = rows.select("joined", F.regexp_replace("text", license_scan._WRAP, " ").alias("got")).collect()
+    assert [(r.joined, r.got) for r in got if r.joined != r.got] == []
