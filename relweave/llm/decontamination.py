@@ -1,14 +1,14 @@
 """Benchmark decontamination: windows of benchmark words looked up in every window of the documents.
 
-The windows of the benchmark (``n`` words; a shorter item is one window) are broadcast as a hash set in
-blocks of at most ``BLOCK_WINDOWS`` windows, so a broadcast never exceeds that bound however large the
-benchmark; each block is one more pass inside the same task, without a shuffle. A document window whose
-hash is in the set is compared word by word before it counts.
+The windows of the benchmark (``n`` words; a shorter item is one window) are found in tasks, written once and
+broadcast as sorted arrays in blocks of about ``BLOCK_WINDOWS`` windows and ``BLOCK_BYTES`` bytes, so that neither the
+driver nor an executor holds more than one block however large the benchmark: with several blocks, the result of one is
+written before the next is read. No documents are shuffled. A document window whose hash is in the block is compared
+word by word before it counts.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,76 +19,83 @@ from pyspark.sql import types as T
 
 from relweave.llm.exact_dedup import quoted
 from relweave.llm.words import LETTERS_DIGITS, chunks, find_words, runs_hash
+from relweave.session import materialise
 
 WINDOW_WORDS = 10
-BLOCK_WINDOWS = 200_000
+BLOCK_WINDOWS, BLOCK_BYTES = 400_000, 1 << 26
 _FILTER_BITS = 20
 
 _HITS = "n_words long, spans array<struct<first:int,last:int>>, items array<long>"
 
 
+_WINDOW = "item long, size int, hash long, words binary"
+
+
 def _windows_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("item", pa.int64()), ("size", pa.int32()), ("hash", pa.int64()), ("words", pa.binary())])
     for batch in batches:
-        items, words_out = [], []
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        names = batch.column("item").to_pylist()
         for a, b in chunks(texts):
             found = find_words(texts[a:b], LETTERS_DIGITS)
-            for i in range(b - a):
-                words = found.words(found.first[i], found.first[i + 1])
-                size = min(n, len(words))
+            hashes = found.hashes()
+            rows: list[tuple] = []
+            for i, (first, end) in enumerate(zip(found.first[:-1].tolist(), found.first[1:].tolist())):
+                size = min(n, end - first)
                 if size:
-                    windows = {b" ".join(words[k : k + size]) for k in range(len(words) - size + 1)}
-                    words_out.extend(windows)
-                    items.extend([batch.column(0)[a + i].as_py()] * len(windows))
-        yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(words_out, pa.binary())], ["item", "words"])
+                    words = found.words(first, end)
+                    values = runs_hash(hashes[first:end], size).view(np.int64).tolist()
+                    rows += {(names[a + i], size, h, b" ".join(words[k : k + size])) for k, h in enumerate(values)}
+            columns = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def benchmark_windows(benchmark: DataFrame, text: str, item: str, n: int = WINDOW_WORDS) -> DataFrame:
-    """Distinct ``(item, words)``: the windows of every item, their words joined by one space."""
-    given = benchmark.where(quoted(item).isNotNull()).select(
-        quoted(item).cast("long").alias("item"), quoted(text).cast("string").alias("words")
-    )
-    return given.mapInArrow(lambda batches: _windows_of(batches, n), "item long, words binary").distinct()
+    """Distinct ``(item, size, hash, words)``: the windows of every item, their words joined by one space."""
+    given = benchmark.select(quoted(item).cast("long").alias("item"), quoted(text).cast("string").alias("text"))
+    return given.mapInArrow(lambda batches: _windows_of(batches, n), _WINDOW).distinct()
 
 
 class WindowSet:
-    """A block of windows: sorted hashes by window length, with the words and items behind each hash."""
-
-    def __init__(self, rows: Sequence[tuple[int, bytes]]):
-        self.behind: dict[tuple[int, int], dict[tuple[bytes, ...], list[int]]] = {}
-        by_size: dict[int, list[bytes]] = {}
-        items: dict[bytes, list[int]] = {}
-        for item, words in rows:
-            items.setdefault(words, []).append(item)
-        for words in items:
-            by_size.setdefault(words.count(b" ") + 1, []).append(words)
-        self.hashes: dict[int, np.ndarray] = {}
-        self.filters: dict[int, np.ndarray] = {}
-        for size, texts in by_size.items():
-            found = find_words(texts, LETTERS_DIGITS)
-            values = runs_hash(found.hashes(), size)[found.first[:-1]]
-            for value, words in zip(values.tolist(), texts):
-                self.behind.setdefault((size, value), {})[tuple(words.split(b" "))] = items[words]
-            self.hashes[size] = np.unique(values)
+    """A block of windows as arrays sorted by length and hash; nothing is held as Python objects."""
+
+    def __init__(self, rows: pa.Table):
+        sizes = rows["size"].to_numpy()
+        self.of_size: dict[int, tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]] = {}
+        for size in np.unique(sizes).tolist():
+            own = rows.take(np.flatnonzero(sizes == size))
+            hashes = own["hash"].to_numpy().view(np.uint64)
+            order = np.argsort(hashes, kind="stable")
+            own = own.take(order).combine_chunks()
             bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[values >> np.uint64(64 - _FILTER_BITS)] = True
-            self.filters[size] = bits
+            bits[hashes >> np.uint64(64 - _FILTER_BITS)] = True
+            self.of_size[size] = (hashes[order], bits, *(pa.concat_arrays(own[c].chunks) for c in ("words", "item")))
 
     def hits(self, found, hashes: np.ndarray) -> Iterator[tuple[int, int, int, list[int]]]:
-        """``(text, first word, size, items)`` of every verified occurrence."""
+        """``(text, first word, size, items)`` of every verified occurrence; items without id are not among ``items``."""
         text_of = found.text_of()
-        for size, known in self.hashes.items():
+        for size, (known, bits, words, items) in self.of_size.items():
             values = runs_hash(hashes, size)
-            at = np.flatnonzero(self.filters[size][values >> np.uint64(64 - _FILTER_BITS)])
+            at = np.flatnonzero(bits[values >> np.uint64(64 - _FILTER_BITS)])
             at = at[text_of[at] == text_of[at + size - 1]]
-            at = at[np.isin(values[at], known)]
-            for k in at.tolist():
-                items = self.behind[size, int(values[k])].get(tuple(found.words(k, k + size)))
-                if items:
-                    yield int(text_of[k]), k, size, items
+            first, end = np.searchsorted(known, values[at], "left"), np.searchsorted(known, values[at], "right")
+            for k, i, j in zip(at[end > first].tolist(), first[end > first].tolist(), end[end > first].tolist()):
+                own = b" ".join(found.words(k, k + size))
+                same = [x for x in range(i, j) if words[x].as_py() == own]
+                if same:
+                    yield int(text_of[k]), k, size, [x for x in (items[x].as_py() for x in same) if x is not None]
+
+
+def window_blocks(windows: DataFrame, block: int, most_bytes: int = BLOCK_BYTES) -> Iterator[pa.Table]:
+    """The written windows in parts by hash of item and words, one after another; one empty part if there are none."""
+    n, size = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("words")), F.lit(0))).first()
+    parts = max(1, -(-n // block), -(-size // most_bytes))
+    for k in range(parts):
+        part = windows if parts == 1 else windows.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k)
+        yield part.toArrow()
 
 
-def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet | None, carried: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet, carried: int) -> Iterator[pa.RecordBatch]:
     """Append the hits of one block to (row, text, n_words, spans, items)."""
     schema = pa.schema([
         ("n_words", pa.int64()),
@@ -103,7 +110,7 @@ def _scan(batches: Iterator[pa.RecordBatch], windows: WindowSet | None, carried:
         for a, b in chunks(texts):
             found = find_words(texts[a:b], LETTERS_DIGITS)
             n_words[a:b] = np.diff(found.first)
-            if windows is None or not len(found.start):
+            if not len(found.start):
                 continue
             for i, k, size, which in windows.hits(found, found.hashes()):
                 spans[a + i].append((k - int(found.first[i]), k - int(found.first[i]) + size - 1))
@@ -146,23 +153,18 @@ def find_contamination(
 
     ``spans`` are the ranges of document words inside an occurrence of a benchmark window, merged;
     ``items`` the sorted ids of the items with one. NULL or wordless text has no words and no hit;
-    items without words or id are left out; repeated items and rows count each. An empty benchmark
-    hits nothing. Input columns stay inside ``row`` and cannot clash.
+    items without words hit nothing, items without id (NULL, or no whole number) hit without being named; repeated items
+    and rows count each. An empty benchmark hits nothing. Input columns stay inside ``row`` and cannot clash.
     """
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark, item_text, item, n)
-    rows: list[tuple[int, bytes]] = []
-    blocks = []
-    for r in windows.toLocalIterator():
-        rows.append((r.item, bytes(r.words)))
-        if len(rows) == block:
-            blocks.append(spark.sparkContext.broadcast(WindowSet(rows)))
-            rows = []
-    if rows or not blocks:
-        blocks.append(spark.sparkContext.broadcast(WindowSet(rows)))
+    windows = materialise(benchmark_windows(benchmark, item_text, item, n), "benchmark-windows")
     current = docs.select(F.struct(*[quoted(c) for c in carry]).alias("row"), quoted(text).cast("string").alias("text"))
     out = T.StructType([*current.schema.fields, *T.StructType.fromDDL(_HITS).fields])
-    for k, shared in enumerate(blocks):
+    shared = None
+    for k, rows in enumerate(window_blocks(windows, block)):
+        if shared is not None:
+            current = materialise(current, "contamination")
+            shared.unpersist()
+        shared = docs.sparkSession.sparkContext.broadcast(WindowSet(rows))
         current = current.mapInArrow(lambda batches, s=shared, k=k: _scan(batches, s.value, k), out)
     return current
 

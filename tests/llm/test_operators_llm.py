@@ -205,6 +205,19 @@ def test_removal(spark, edge, empty):
         decontamination.decontaminate(docs, benchmark, remove="words")
 
 
+def test_items_without_id_hit_unnamed(spark):
+    """A leak of an item whose id is NULL is a hit like any other; blocks of any size give the same."""
+    leak, other = prose(30, 5), prose(12, 6)
+    benchmark = spark.createDataFrame([(None, leak), (None, leak), (7, other), (8, other), (9, ""), (None, None)], "item_id long, text string")
+    docs = documents(spark, [prose(20, 1) + " " + leak, other, prose(40, 2), f"{leak}. {other}", None])
+    expected = [(0, [(20, 49)], []), (1, [(0, 11)], [7, 8]), (2, [], []), (3, [(0, 41)], [7, 8]), (4, [], [])]
+    for block in (7, 400_000):
+        got = decontamination.find_contamination(docs, benchmark, block=block).collect()
+        assert sorted((r.row.doc_id, [tuple(s) for s in r.spans], r["items"]) for r in got) == expected
+    kept = decontamination.decontaminate(docs, benchmark)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4]
+
+
 # byte-level BPE
 
 def test_round_trip(spark, edge, empty):
