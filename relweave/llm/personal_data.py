@@ -5,7 +5,10 @@ replaced by a value of the same format. Digits go through a keyed Feistel permut
 their length, so a value has the same pseudonym in every document and two values never share one. A card
 number keeps a right check digit, an address four octets, a date is permuted among the days of 400
 years (their number is 189 x 773, so the Feistel halves are days modulo these, and no date falls outside).
-E-mail addresses are not numbers: their local part becomes a keyed digest of its own length.
+E-mail addresses take one of two forms. ``permuted``: the letters and digits of the local part, lower-cased, go through a
+Feistel permutation of the texts of their length by shifts of single characters; other characters and the domain stay,
+so two people never share one. ``digest``: the local part becomes letters of a keyed digest, which shows less of its
+form, but short names may come to share one.
 
 Not found: phone numbers without a leading ``+``, IBANs and other national or account numbers, and names. Cards
 are sought among whole digit groups, parted by one space or hyphen, not inside a longer unbroken row of digits.
@@ -22,10 +25,13 @@ from pyspark.sql import functions as F
 from relweave.llm.exact_dedup import quoted
 
 ROUNDS = 10
+_ALPHABET, _PIECE = "0123456789abcdefghijklmnopqrstuvwxyz", 64
+# The country codes of one and two digits; all others have three.
+_COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2})"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+"
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
-DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[/.-][0-9])"
+DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[/.-][0-9])"
 PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"
 # a whole run of digit groups, up to where another kind begins; the cards in it are found by ``_values``
 CARD = rf"(?<![0-9])[0-9](?:[ -]?(?!{EMAIL}|{IPV4}|{DATE})[0-9]){{12,}}+(?![0-9])"
@@ -56,6 +62,29 @@ def permute_digits(digits: Column, key: Column) -> Column:
     return F.when(n < 2, digits).otherwise(F.concat(done["a"], done["b"]))
 
 
+def permute_letters(text: Column, key: Column, tweak: Column) -> Column:
+    """Keyed permutation of the texts of each length over ``_ALPHABET``, for each ``tweak`` another."""
+    n, size = F.length(text), len(_ALPHABET)
+    half = (n / 2).cast("int")
+    start = F.struct(F.substring(text, F.lit(1), half).alias("a"), F.substring(text, half + 1, n).alias("b"))
+
+    def step(s, i):
+        width = F.length(s["a"])
+
+        def moved(at):
+            # three hexadecimal digits a character, 21 characters a digest
+            stream = F.concat_ws("|", key, *[c.cast("string") for c in (tweak, n, i, F.floor((at - 1) / 21))], s["b"])
+            shift = F.conv(F.substring(F.sha2(stream.cast("binary"), 256), (at - 1) % 21 * 3 + 1, F.lit(3)), 16, 10).cast("int")
+            old = F.position(F.substring(s["a"], at, F.lit(1)), F.lit(_ALPHABET)) - 1
+            return F.substring(F.lit(_ALPHABET), (old + shift) % size + 1, F.lit(1))
+
+        shifted = F.array_join(F.transform(F.sequence(F.lit(1), width), moved), "")
+        return F.struct(s["b"].alias("a"), F.when(width == 0, F.lit("")).otherwise(shifted).alias("b"))
+
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
+    return F.concat(done["a"], done["b"])
+
+
 def permute_pair(a: Column, b: Column, radix: tuple[int, int], key: Column) -> tuple[Column, Column]:
     """Keyed permutation of the pairs of numbers below ``radix``, by an alternating Feistel network."""
     start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
@@ -80,12 +109,12 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), step)
 
 
-def _laid_out(layout: Column, digits: Column) -> Column:
-    """``digits`` in the places of the digits of ``layout``."""
+def _laid_out(layout: Column, digits: Column, kept: str = "0-9") -> Column:
+    """``digits`` in the places of the digits (characters of ``kept``) of ``layout``."""
     def place(i):
         c = F.substring(layout, i, F.lit(1))
-        before = F.length(F.regexp_replace(F.substring(layout, F.lit(1), i), "[^0-9]", ""))
-        return F.when(c.rlike("[0-9]"), F.substring(digits, before, F.lit(1))).otherwise(c)
+        before = F.length(F.regexp_replace(F.substring(layout, F.lit(1), i), f"[^{kept}]", ""))
+        return F.when(c.rlike(f"[{kept}]"), F.substring(digits, before, F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(layout)), place), "")
 
@@ -96,7 +125,7 @@ def _only_digits(value: Column) -> Column:
 
 def _date_of(value: Column) -> Column:
     iso = F.regexp_replace(value, r"^([0-9]{2})[/.]([0-9]{2})[/.]([0-9]{4})$", "$3-$2-$1")
-    return iso.try_cast("date")
+    return F.translate(iso, "/", "-").try_cast("date")
 
 
 def _kind(value: Column) -> Column:
@@ -158,7 +187,7 @@ def _card(value: Column, key: Column) -> Column:
 
 
 def _phone(value: Column, key: Column) -> Column:
-    country = F.regexp_extract(value, r"^(\+[0-9]{1,3}(?=[^0-9])|\+[0-9])", 1)
+    country = F.regexp_extract(value, _COUNTRY, 0)
     rest = F.substring(value, F.length(country) + 1, F.length(value))
     return F.concat(country, _laid_out(rest, permute_digits(_only_digits(rest), key)))
 
@@ -173,27 +202,43 @@ def _date(value: Column, key: Column) -> Column:
     days = F.datediff(_date_of(value), F.lit(_FIRST_DAY).cast("date"))
     a, b = permute_pair((days / _RADIX[1]).cast("int"), days % _RADIX[1], _RADIX, key)
     moved = F.date_add(F.lit(_FIRST_DAY).cast("date"), (a * _RADIX[1] + b).cast("int"))
-    form = F.when(value.contains("-"), F.date_format(moved, "yyyy-MM-dd")).when(value.contains("/"), F.date_format(moved, "dd/MM/yyyy"))
+    form = F.when(value.contains("-"), F.date_format(moved, "yyyy-MM-dd")).when(value.rlike("^[0-9]{4}/"), F.date_format(moved, "yyyy/MM/dd"))
+    form = form.when(value.contains("/"), F.date_format(moved, "dd/MM/yyyy"))
     return form.otherwise(F.date_format(moved, "dd.MM.yyyy"))
 
 
-def _email(value: Column, key: Column) -> Column:
+def _email_digest(value: Column, key: Column) -> Column:
     local = F.substring_index(value, "@", 1)
     letters = F.translate(F.sha2(F.concat_ws("|", key, F.lit("email"), F.lower(value)).cast("binary"), 256), "0123456789", "ghijklmnop")
     return F.concat(F.rpad(F.substring(letters, F.lit(1), F.length(local)), F.length(local), "x"), F.lit("@"), F.substring_index(value, "@", -1))
 
 
-def pseudonym(value: Column, kind: Column, key: Column) -> Column:
-    forms = {"email": _email, "phone": _phone, "ip": _ip, "date": _date, "card": _card}
+def _email_permuted(value: Column, key: Column) -> Column:
+    def moved(piece, k):
+        letters = F.regexp_replace(piece, "[^a-z0-9]", "")
+        return F.when(letters == "", piece).otherwise(_laid_out(piece, permute_letters(letters, key, k), "a-z0-9"))
+
+    # an address has 64 characters at most before the sign; of a longer match every piece is permuted by itself
+    pieces = F.regexp_extract_all(F.lower(F.substring_index(value, "@", 1)), F.lit(f".{{1,{_PIECE}}}"), F.lit(0))
+    return F.concat(F.array_join(F.transform(pieces, moved), ""), F.lit("@"), F.substring_index(value, "@", -1))
+
+
+EMAIL_FORMS = {"digest": _email_digest, "permuted": _email_permuted}
+
+
+def pseudonym(value: Column, kind: Column, key: Column, emails: str = "digest") -> Column:
+    forms = {"email": EMAIL_FORMS[emails], "phone": _phone, "ip": _ip, "date": _date, "card": _card}
     chosen = reduce(lambda rest, k: rest.when(kind == k, forms[k](value, key)), forms, F.when(F.lit(False), value))
     return chosen.otherwise(value)
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+def pseudonymise(
+    docs: DataFrame, key: str, text: str = "text", carry: Sequence[str] = ("doc_id",), emails: str = "digest"
+) -> DataFrame:
     """One row per document: ``row`` (struct of ``carry``), ``text`` with pseudonyms, ``kinds``.
 
     ``kinds`` has the kind of every replaced value in its order. NULL text stays NULL and has no kinds. Whole
-    texts are searched; a text without a digit or ``@`` holds none of the formats and passes as it is.
+    texts are searched; ``emails`` names the form of e-mail addresses; a text without a digit or ``@`` holds none of the formats and passes as it is.
     Invalid numbers and dates stay; of a run of digit groups the valid card numbers in it are replaced. Input columns stay inside ``row`` and cannot clash.
     """
     secret = F.lit(key)
@@ -202,7 +247,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", carry: Sequence[
     found = F.when(may, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
     given = given.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
     given = given.withColumn("values", F.transform("found", _values))
-    changed = F.transform("values", lambda m: F.array_join(F.transform(m, lambda v: pseudonym(v["value"], v["kind"], secret)), ""))
+    changed = F.transform("values", lambda m: F.array_join(F.transform(m, lambda v: pseudonym(v["value"], v["kind"], secret, emails)), ""))
     between = F.split("text", PATTERN, -1)
     whole = F.array_join(F.zip_with(between, F.concat(changed, F.array(F.lit(""))), lambda x, y: F.concat(x, y)), "")
     kinds = F.filter(F.transform(F.flatten("values"), lambda v: v["kind"]), lambda k: k.isNotNull())
@@ -212,7 +257,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", carry: Sequence[
 def query(spark, folder: str, key: str = "a key for tests") -> DataFrame:
     """Every document with pseudonyms, and how many values of each kind were replaced."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    done = pseudonymise(docs, key)
+    done = pseudonymise(docs, key, emails="permuted")
 
     def count(kind: str) -> Column:
         return F.size(F.filter("kinds", lambda k: k == kind)).alias(f"n_{kind}")

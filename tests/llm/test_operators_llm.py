@@ -485,3 +485,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(rows) <= expected and len(expected - set(rows)) <= 2  # the small model may err on a clean one
     assert rows[1001].decoded_sha256 == hashlib.sha256(shared.encode()).hexdigest()
     assert rows[1005].n_tokens == 0
+
+
+def test_addresses_are_permuted(spark):
+    """Different names at one domain never share a pseudonym, of any length and form; letter case does not part them."""
+    letters = "0123456789abcdefghijklmnopqrstuvwxyz"
+    names = [*letters, *(a + b for a in letters for b in letters), *(f"j.{a}{b}-x" for a in letters for b in letters)]
+    names += ["z" * 63 + a for a in letters] + ["y" * 150 + a for a in letters] + ["._.", "%"]
+    rows = spark.createDataFrame([(f"{n}@example.org",) for n in names], "value string")
+    moved = [r[0] for r in rows.select(personal_data._email_permuted(F.col("value"), F.lit("k"))).collect()]
+    assert len(set(moved)) == len(names)
+    assert all(re.sub("[a-z0-9]", "a", m) == re.sub("[a-z0-9]", "a", f"{n}@example.org") for m, n in zip(moved, names))
+    assert sorted(m.split("@")[0] for m in moved[:36]) == sorted(letters)
+    assert sum(m == f"{n}@example.org" for m, n in zip(moved, names)) < 8
+    docs = documents(spark, ["Ann.Lee@Example.org ann.lee@Example.org", "+442079460958 +15551234567", "2024/02/29 2023/02/29", "a 2024/02/29 b 29/02/2024"])
+    got = {r.row.doc_id: r for r in personal_data.pseudonymise(docs, "k", emails="permuted").collect()}
+    first, second = got[0].text.split()
+    assert first == second != "ann.lee@Example.org" and first.endswith("@Example.org")
+    assert got[1].text.startswith("+44") and " +1" in got[1].text and got[1].kinds == ["phone", "phone"]
+    assert got[2].kinds == ["date"] and got[2].text.endswith(" 2023/02/29")
+    iso, day = re.fullmatch(r"a (\d{4}/\d\d/\d\d) b (\d\d/\d\d/\d{4})", got[3].text).groups()
+    assert iso.split("/") == day.split("/")[::-1]
