@@ -179,36 +179,48 @@ def foreign_key_violations(tables: Mapping[str, DataFrame], spec: TableSpec) ->
     return reduce(DataFrame.unionByName, parts)
 
 
-SKETCH_BITS, SKETCH_ERROR = 12, 0.016  # size and relative standard deviation of the sketches that reject column sets
-SKETCH_MARGIN = 6  # standard deviations a count may lie below the rows and still be looked at
+KEY_PARTS = 64  # a power of two; the values of a column set fall into this many parts by their hash, one of them is searched first
+
+
+def _repeated_in_part(df: DataFrame, columns: Sequence[str], sets: Sequence[Sequence[str]]) -> set[int]:
+    """Places of the column sets with two equal rows among those whose values fall into one part; one pass for all sets."""
+    # a hash skips NULLs, so each value is hashed with whether it is one; the part of a set is that of all its columns together
+    parts = {c: F.xxhash64(F.lit(k), quoted(c).isNull(), quoted(c)).bitwiseAND(F.lit(KEY_PARTS - 1)).cast("int") for k, c in enumerate(columns)}
+    values = df.select(*[quoted(c).alias(f"_{k}") for k, c in enumerate(columns)], *[p.alias(f"_part{k}") for k, p in enumerate(parts.values())])
+    place = {c: k for k, c in enumerate(columns)}
+    inside = [reduce(Column.bitwiseXOR, [F.col(f"_part{place[c]}") for c in s]) == 0 for s in sets]
+    rows = values.withColumn("_set", F.explode(F.array(*[F.when(own, F.lit(i)) for i, own in enumerate(inside)]))).where("_set IS NOT NULL")
+    own = [F.when(F.col("_set").isin([i for i, s in enumerate(sets) if c in s]), F.col(f"_{k}")).alias(f"_{k}") for k, c in enumerate(columns)]
+    repeated = rows.select("_set", *own).groupBy("_set", *[f"_{k}" for k in range(len(columns))]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return {r[0] for r in repeated.select("_set").distinct().collect()}
+
+
+def _repeated(df: DataFrame, sets: Sequence[Sequence[str]]) -> set[int]:
+    """Places of the column sets with two equal rows in the whole table, in one job."""
+    def branch(i: int, chosen: Sequence[str]) -> DataFrame:
+        counted = df.groupBy(*[quoted(c).alias(f"_{k}") for k, c in enumerate(chosen)]).agg(F.count(F.lit(1)).alias("_n"))
+        return counted.agg(F.max("_n").alias("most")).select(F.lit(i).alias("place"), "most")
+
+    return {r.place for r in reduce(DataFrame.unionByName, [branch(i, s) for i, s in enumerate(sets)]).where("most > 1").collect()}
 
 
 def candidate_keys(df: DataFrame, columns: Sequence[str], width: int = 2) -> DataFrame:
     """``columns, width`` of every smallest set of up to ``width`` columns in which no two rows are equal.
 
-    One pass takes sketches of the distinct counts of all sets; those far below the number of rows are no keys.
-    What is left is counted exactly, all sets of one width in one job, and sets that hold a key are left out.
-    NULL counts as a value. An empty table has the keys of one column each.
+    Two equal rows show that a set is no key, wherever they are found. Equal values have equal hashes, so they
+    are sought first among the rows whose values fall into one part by their hash, for all sets in one pass;
+    the sets without any there are grouped whole, width by width, which settles them. Sets that hold a key are
+    left out. NULL counts as a value. An empty table has the keys of one column each.
     """
     sets = [s for n in range(1, width + 1) for s in combinations(columns, n)]
-
-    def values(chosen: Sequence[str]) -> Column:
-        return F.struct(*[quoted(c) for c in chosen])
-
-    def sketch(chosen: Sequence[str]) -> Column:
-        # a hash skips NULLs, so each value is hashed with whether it is one
-        hashed = F.xxhash64(*[x for c in chosen for x in (quoted(c).isNull(), quoted(c))])
-        return F.hll_sketch_estimate(F.hll_sketch_agg(hashed, SKETCH_BITS))
-
-    sketches = df.agg(F.count(F.lit(1)).alias("n"), *[sketch(s).alias(f"_{i}") for i, s in enumerate(sets)]).first()
-    least = sketches.n * (1 - SKETCH_MARGIN * SKETCH_ERROR)
-    possible = [s for i, s in enumerate(sets) if sketches[f"_{i}"] >= least]
+    refuted = _repeated_in_part(df, columns, sets) if sets else set()
+    possible = [s for i, s in enumerate(sets) if i not in refuted]
     found: list[tuple[str, ...]] = []
     for n in range(1, width + 1):
         level = [s for s in possible if len(s) == n and not any(set(key) <= set(s) for key in found)]
         if level:
-            exact = df.agg(*[F.count_distinct(values(s)).alias(f"_{i}") for i, s in enumerate(level)]).first()
-            found += [s for i, s in enumerate(level) if exact[f"_{i}"] == sketches.n]
+            refuted = _repeated(df, level)
+            found += [s for i, s in enumerate(level) if i not in refuted]
     rows = [(",".join(s), len(s)) for s in found]  # at most as many as there are sets
     return df.sparkSession.createDataFrame(rows, "columns string, width int")
 

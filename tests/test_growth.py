@@ -40,6 +40,19 @@ def test_candidate_keys_equal_brute_force(spark, rows):
     assert rows(Q.candidate_keys(df.unionAll(df), ["c", "d.e"])) == []
 
 
+def test_column_sets_with_many_equal_rows_are_not_grouped_whole(spark, rows, monkeypatch):
+    whole, grouped = Q._repeated, []
+    monkeypatch.setattr(Q, "_repeated", lambda df, sets: grouped.extend(sets) or whole(df, sets))
+    df = spark.range(6000).selectExpr("id a", "id div 2 b", "id % 2 c", "if(id = 7, 9, id) d", "if(id % 2 = 0, null, id) e", "id div 3 * 1.5D f")
+    names = ["a", "b", "c", "d", "e", "f"]
+    data = [tuple(r) for r in df.collect()]
+    assert rows(Q.candidate_keys(df, names, 2)) == smallest_keys(data, names, 2)
+    assert not {("b",), ("f",), ("c", "f")} & set(grouped)  # equal rows in every part
+    assert ("d",) in grouped and ("a", "b") not in grouped  # two equal rows in all; a key in it
+    nulls = spark.createDataFrame([(None, 0.0), (None, -0.0), (1, float("nan")), (2, float("nan"))], "x int, y double")
+    assert rows(Q.candidate_keys(nulls, ["x", "y"], 2)) == []
+
+
 def test_dependency_violations_equal_brute_force(spark, rows):
     df, data = table(spark)
     names = ["b", "c", "d.e", "f"]
