@@ -1,15 +1,16 @@
 """Licence scans by a trained paragraph classifier, in DataFrame functions only.
 
 A line is a paragraph, together with the lines that it is continued on (see ``_WRAP``). A multinomial
-logistic regression over words and word pairs (Spark's own, on the JVM) assigns it a licence family or none. It is trained on variants of public licence notices against paragraphs of
-the corpus itself, which is a bounded sample (``MOST_PARAGRAPHS``); words that occur in neither notice nor
-sample have no weight. A family is predicted only above a probability that all but a thousandth of the
+logistic regression over words and word pairs (Spark's own, on the JVM) assigns it a licence family or none. It
+is trained on variants of public licence notices against every paragraph of the corpus that it may be asked about
+and that resembles no notice; the words and pairs it weighs are those of the notices and the ``MOST_GRAMS`` that
+most of all these paragraphs have. A family is predicted only above a probability that all but a thousandth of the
 paragraphs kept aside for calibration stay below, found for each family, and confirmed only if the paragraph
 shares enough words with a notice of that family. A predicted paragraph that resembles some notice, but not
 enough, is of the unknown class: licence text of no known family.
 
 What is confirmed or unknown shares half of a notice's words at least, so a paragraph without any of the words
-that this implies (``telling_words``) cannot be a result and is not classified.
+that this implies (``telling_words``) cannot be a result; it is neither learned from nor classified.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, NGram, SQLTransformer
+from pyspark.ml.feature import CountVectorizerModel, NGram, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from relweave.llm.exact_dedup import quoted
 from relweave.session import materialise
 
-MOST_PARAGRAPHS, SHARE_ASIDE = 4_000, 4
+MOST_GRAMS, SHARE_ASIDE, TASK_PARAGRAPHS = 1 << 15, 4, 25_000
 LEAST_SHARED, LEAST_ALIKE = 0.6, 0.5
 LEAST_PROBABILITY, MOST_PROBABILITY, ASIDE_QUANTILE = 0.5, 0.95, 0.999
 NONE, UNKNOWN = "none", "unknown"
@@ -135,7 +136,7 @@ def best_match(words: Column, family: Column | None = None) -> Column:
     return F.coalesce(F.array_max(F.transform(known, lambda n: shared_words(words, n["words"]))), F.lit(0.0))
 
 
-def training_rows(spark: SparkSession, sample: DataFrame) -> DataFrame:
+def training_rows(spark: SparkSession, others: DataFrame) -> DataFrame:
     """(family, words): every notice, whole and without each one of its words, and the corpus paragraphs as none.
 
     A variant that is the notice of another family is left out.
@@ -145,40 +146,43 @@ def training_rows(spark: SparkSession, sample: DataFrame) -> DataFrame:
     variants = without.select("family", F.expr("filter(words, (w, i) -> i <> gap - 1)").alias("words"))
     other = whole.select(F.col("family").alias("other"), F.col("words").alias("whole"))
     variants = variants.join(F.broadcast(other), (F.col("words") == F.col("whole")) & (F.col("family") != F.col("other")), "left_anti")
-    return variants.unionByName(sample.select(F.lit(NONE).alias("family"), "words"))
+    return variants.unionByName(others.select(F.lit(NONE).alias("family"), "words"))
 
 
-def sampled(docs: DataFrame, text: str, order: str, most: int = MOST_PARAGRAPHS) -> DataFrame:
-    """(draw, words) of the ``most`` paragraphs of three words or more with the smallest hash, each once; only hashes are shuffled."""
-    every = lines_of(docs, text, [order]).where(F.col("line").rlike("^[^A-Za-z0-9]*+(?:[A-Za-z0-9]++[^A-Za-z0-9]++){2}[A-Za-z0-9]"))
-    every = every.select(F.xxhash64("line").alias("draw"), "line")
-    draws = every.select("draw").distinct().orderBy("draw").limit(most)
-    chosen = every.join(F.broadcast(draws), "draw").groupBy("draw").agg(F.min("line").alias("line"))
-    return chosen.select("draw", words_of(F.col("line")).alias("words"))
+def counterexamples(docs: DataFrame, text: str, order: str) -> DataFrame:
+    """(draw, words) of all paragraphs that are looked at and resemble no notice, equal ones once; ``draw`` is their hash."""
+    every = paragraphs(docs, text, [order]).select("words").distinct()
+    return every.where(best_match(F.col("words")) < LEAST_ALIKE).select(F.xxhash64("words").alias("draw"), "words")
+
+
+def gram_names(rows: DataFrame) -> list[str]:
+    """The grams of two rows or more of (family, grams): all of the notices, and the ``MOST_GRAMS`` most frequent of the others."""
+    counted = rows.select("family", F.explode(F.array_distinct("grams")).alias("gram")).groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("family") != NONE).alias("n_notices")
+    ).where("n > 1")
+    frequent = counted.where("n_notices = 0").orderBy(F.desc("n"), "gram").limit(MOST_GRAMS)
+    return sorted(r.gram for r in counted.where("n_notices > 0").union(frequent).select("gram").collect())
 
 
 def fit(docs: DataFrame, text: str = "text", order: str = "doc_id") -> tuple[PipelineModel, list[str], dict[str, float]]:
     """The trained stages, the families by number, and the probability from which each is predicted.
 
-    Paragraphs of the corpus are chosen by a hash of their text, so repeated ones
-    count once; those that resemble a notice are left out. A quarter of them is kept aside.
+    All ``counterexamples`` take part: a quarter of them by their hash is kept aside for the probabilities, the
+    model learns from the others.
     """
     spark = docs.sparkSession
-    chosen = sampled(docs, text, order)
-    chosen = materialise(chosen.where(best_match(F.col("words")) < LEAST_ALIKE), "license-sample")
+    chosen = materialise(counterexamples(docs, text, order), "license-paragraphs")
     families = [NONE, *sorted({f for f, _ in NOTICES})]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     aside = F.pmod("draw", F.lit(SHARE_ASIDE)) == 0
-    # a bounded number of rows: few tasks, as each sends all coefficients in every iteration
-    rows = training_rows(spark, chosen.where(~aside)).select(number.cast("double").alias("label"), "words")
-    rows = materialise(rows.coalesce(2), "license-rows")
-    stages = [
-        NGram(n=2, inputCol="words", outputCol="pairs"),
-        SQLTransformer(statement="SELECT *, concat(words, pairs) AS grams FROM __THIS__"),
-        CountVectorizer(inputCol="grams", outputCol="counts", binary=True, minDF=2.0, vocabSize=1 << 15),
-        LogisticRegression(featuresCol="counts", family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60),
-    ]
-    model = Pipeline(stages=stages).fit(rows)
+    rows = training_rows(spark, chosen.where(~aside))
+    # as few tasks as the rows allow, as each sends all coefficients in every iteration
+    rows = materialise(rows.withColumn("label", number.cast("double")).coalesce(2 + chosen.count() // TASK_PARAGRAPHS), "license-rows")
+    grams = [NGram(n=2, inputCol="words", outputCol="pairs"), SQLTransformer(statement="SELECT *, concat(words, pairs) AS grams FROM __THIS__")]
+    names = gram_names(PipelineModel(grams).transform(rows))
+    stages = [*grams, CountVectorizerModel.from_vocabulary(names, "grams", "counts").setBinary(True)]
+    learner = LogisticRegression(featuresCol="counts", family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60)
+    model = PipelineModel([*stages, learner.fit(PipelineModel(stages).transform(rows))])
     scored = classify(chosen.where(aside).select("words"), model, families)
     reached = scored.groupBy("family").agg(F.percentile_approx("probability_of", ASIDE_QUANTILE).alias("p")).collect()
     least = dict.fromkeys(families[1:], LEAST_PROBABILITY)

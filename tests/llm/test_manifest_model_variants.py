@@ -290,6 +290,16 @@ def test_wrapped_and_reworded_notices(spark, empty):  # noqa: F811
     assert license_scan.scan(empty).count() == 0
 
 
+def test_every_paragraph_is_learned_from_or_kept_aside(spark):
+    lines = [f"The license plate of car {i} belongs to {' '.join(prose(6, i).split())}." for i in range(4500)]
+    texts = ["\n".join(lines[i : i + 90]) + "\nAll rights reserved.\nNo word that tells." for i in range(0, 4500, 90)]
+    chosen = license_scan.counterexamples(documents(spark, texts + texts[:5]), "text", "doc_id")
+    assert {" ".join(r.words) for r in chosen.collect()} == {" ".join(re.findall(license_scan._WORD, line.lower())) for line in lines}
+    assert chosen.count() == 4500  # equal ones once
+    rows = spark.createDataFrame([("none", ["a", "b"]), ("none", ["a", "b"]), ("MIT", ["m", "b"]), ("MIT", ["m", "o"])], "family string, grams array<string>")
+    assert license_scan.gram_names(rows) == ["a", "b", "m"]
+
+
 def test_lines_without_telling_words_resemble_no_notice(spark):
     """Every text of half a notice's words has a telling word, whichever half it is."""
     draw = random.Random(5)
