@@ -29,18 +29,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relweave.llm.exact_dedup import quoted
-from relweave.llm.words import BETWEEN_SPACE, chunks, find_words, mix
+from relweave.llm.words import BETWEEN_SPACE, find_words, give_back, mix
 from relweave.session import materialise
 
 K = 5  # the largest count that is discounted
 TOP_WORDS = 1 << 19
 BUCKET_TOKENS = 1 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 END = np.uint64(1)  # the token at the end of every text
 _MOST_TEXTS = 50_000
 
@@ -70,10 +71,23 @@ def tokens_of(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(len(texts)), np.diff(found.first) + 1)
 
 
-def text_chunks(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int]]:
-    for a, b in chunks(texts, CHUNK_BYTES):
-        for start in range(a, b, _MOST_TEXTS):
-            yield start, min(b, start + _MOST_TEXTS)
+def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """Ranges of rows with their texts, so that only those of one range are taken out of the column at once."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    begin = 0
+    for stop in _ends(sizes):
+        yield begin, stop, column.slice(begin, stop - begin).cast(pa.binary()).to_pylist()
+        begin = stop
+    give_back()
+
+
+def _ends(sizes: np.ndarray) -> Iterator[int]:
+    """Where ranges of about ``CHUNK_BYTES`` and at most ``_MOST_TEXTS`` texts end; a longer text is alone."""
+    total, begin = np.concatenate(([0], np.cumsum(sizes))), 0
+    while begin < len(sizes):
+        stop = int(np.searchsorted(total, total[begin] + CHUNK_BYTES, "right")) - 1
+        begin = min(max(stop, begin + 1), begin + _MOST_TEXTS)
+        yield begin
 
 
 def distinct_rows(columns: Sequence[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -154,9 +168,8 @@ def bucket_of(context: np.ndarray, word: np.ndarray, over: np.ndarray, buckets:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(0).cast(pa.binary()).to_pylist()
-        for a, b in text_chunks(texts):
-            words, n = np.unique(tokens_of(texts[a:b])[0], return_counts=True)
+        for _, _, texts in text_chunks(batch.column(0)):
+            words, n = np.unique(tokens_of(texts)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "c"])
 
 
@@ -193,9 +206,8 @@ def _blobs(words: np.ndarray, context: np.ndarray, word: np.ndarray, top: Words,
 
 def _emit_training(batches: Iterator[pa.RecordBatch], top: Words, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(0).cast(pa.binary()).to_pylist()
-        for a, b in text_chunks(texts):
-            tokens, text = tokens_of(texts[a:b])
+        for _, _, texts in text_chunks(batch.column(0)):
+            tokens, text = tokens_of(texts)
             words, place = np.unique(tokens, return_inverse=True)
             at = np.flatnonzero(text[1:] == text[:-1])
             if not len(at):
@@ -265,6 +277,12 @@ def _count_pairs(group: pa.Table, top: Words) -> pa.Table:
     return pa.concat_tables(tables)
 
 
+def _given_back(result: pa.Table) -> pa.Table:
+    """The result of a group; what its arrays took is given back, as the worker goes on to other stages."""
+    give_back()
+    return result
+
+
 def _partial(columns: dict, schema: pa.Schema) -> pa.Table:
     """A table of the schema in which the other columns are NULL."""
     rows = len(next(iter(columns.values())))
@@ -280,6 +298,7 @@ class KatzModel:
     contexts: DataFrame
     buckets: int
     top: Words
+    shared: Broadcast[Words]  # ``top`` on the executors: a worker that trains and scores holds it once
     discount: np.ndarray
 
 
@@ -323,7 +342,7 @@ def train(docs: DataFrame, text: str = "text") -> KatzModel:
     buckets = max(1, -(-top.tokens // BUCKET_TOKENS))
     shared = spark.sparkContext.broadcast(top)  # TOP_WORDS words at most
     emitted = texts.mapInArrow(lambda batches: _emit_training(batches, shared.value, buckets), _PAIRS)
-    counted = emitted.groupBy("bucket").applyInArrow(lambda group: _count_pairs(group, shared.value), _COUNTED)
+    counted = emitted.groupBy("bucket").applyInArrow(lambda group: _given_back(_count_pairs(group, shared.value)), _COUNTED)
     counted = materialise(counted, "katz-pairs")
     pairs = counted.where(F.col("ids").isNotNull()).select("bucket", "ids", "sizes", "rare_words", "n")
 
@@ -343,16 +362,15 @@ def train(docs: DataFrame, text: str = "text") -> KatzModel:
     weighed = sums.select("context", "p", kept.alias("kept"), denominator.cast("double").alias("denominator"))
     weighed = weighed.join(missing, "context", "left").select("context", "denominator", F.log10(alpha).alias("log_alpha"))
     contexts = materialise(parts.select("bucket", "context").join(weighed, "context"), "katz-contexts")
-    return KatzModel(words, pairs, contexts, buckets, top, discount)
+    return KatzModel(words, pairs, contexts, buckets, top, shared, discount)
 
 
 def _emit_scoring(batches: Iterator[pa.RecordBatch], top: Words, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Of (uid, row, text): the pairs by bucket with their texts, one row for each text, and one for each rare word of a text."""
     for batch in batches:
-        texts = batch.column(2).cast(pa.binary()).to_pylist()
-        for a, b in text_chunks(texts):
+        for a, b, texts in text_chunks(batch.column(2)):
             uid = np.asarray(batch.column(0).slice(a, b - a).to_numpy(zero_copy_only=False), np.int64)
-            tokens, text = tokens_of(texts[a:b])
+            tokens, text = tokens_of(texts)
             words, place = np.unique(tokens, return_inverse=True)
             count = top.counts(words)
             starts = np.flatnonzero(np.diff(text, prepend=-1))
@@ -449,7 +467,6 @@ def score(docs: DataFrame, model: KatzModel, text: str = "text", carry: Sequence
     ``(c + 0.5) / (N + 0.5 (V + 1))``. NULL and empty texts are one end. Repeated rows and ids come out each,
     an empty table gives an empty result, and input columns keep their names inside ``row``.
     """
-    spark = docs.sparkSession
     given = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.struct(*[quoted(c) for c in carry]).alias("row"), quoted(text).cast("string").alias("text")
     )
@@ -458,11 +475,11 @@ def score(docs: DataFrame, model: KatzModel, text: str = "text", carry: Sequence
     from pyspark.sql.pandas.types import to_arrow_schema
 
     emitted, out = to_arrow_schema(T.StructType([*arrays.fields, *sums.fields]), prefers_large_types=False), to_arrow_schema(sums)
-    top, buckets, discount = spark.sparkContext.broadcast(model.top), model.buckets, model.discount
+    top, buckets, discount = model.shared, model.buckets, model.discount
     pairs = given.mapInArrow(lambda batches: _emit_scoring(batches, top.value, buckets, emitted), T.StructType([*arrays.fields, *sums.fields]))
     known = model.pairs.unionByName(model.contexts, allowMissingColumns=True)
     met = pairs.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
-        lambda texts, own: _score_pairs(texts, own, top.value, discount, out) if texts.num_rows else out.empty_table(), sums
+        lambda texts, own: _given_back(_score_pairs(texts, own, top.value, discount, out)) if texts.num_rows else out.empty_table(), sums
     )
     met = materialise(met, "katz-sums")
     words = met.where(F.col("token").isNotNull()).groupBy("uid", F.col("token").alias("word")).agg(

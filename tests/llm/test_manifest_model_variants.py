@@ -9,6 +9,8 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +265,22 @@ def test_words_and_damage(spark, edge, empty):  # noqa: F811
     assert spelling_variants.variants(spelling_variants.words_of(edge)).count() >= 0
 
 
+def test_texts_are_taken_range_by_range_and_memory_is_given_back(spark, monkeypatch):
+    monkeypatch.setattr(katz_model, "CHUNK_BYTES", 20)
+    monkeypatch.setattr(katz_model, "_MOST_TEXTS", 3)
+    texts = ["a" * 9, None, "", "", "b" * 50, "c" * 20, "d", "e" * 19, "f" * 9, "\u00e9" * 5]
+    got = list(katz_model.text_chunks(pa.array(texts)))
+    assert [t for _, _, part in got for t in part] == [t and t.encode() if t else t if t is None else b"" for t in texts]
+    assert [(a, b) for a, b, _ in got] == [(0, 3), (3, 4), (4, 5), (5, 6), (6, 8), (8, 10)]
+    assert list(katz_model.text_chunks(pa.array([], pa.string()))) == []
+    model = katz_model.train(documents(spark, ["a b a b", "b a"]))
+    assert model.shared.value is not None and np.array_equal(model.shared.value.word, model.top.word)
+    given = []
+    monkeypatch.setattr(katz_model, "give_back", lambda: given.append(1))
+    table = pa.table({"a": [1]})
+    assert katz_model._given_back(table) is table and given == [1]
+
+
 # licences that are no training texts
 
 REAL = {
