@@ -1,10 +1,12 @@
 """Licence scans by a trained paragraph classifier, in DataFrame functions only.
 
-A line is a paragraph, together with the lines that it is continued on (see ``_WRAP``). A multinomial
-logistic regression over words and word pairs (Spark's own, on the JVM) assigns it a licence family or none. It
-is trained on variants of public licence notices against every paragraph of the corpus that it may be asked about
-and that resembles no notice; the words and pairs it weighs are those of the notices and the ``MOST_GRAMS`` that
-most of all these paragraphs have. A family is predicted only above a probability that all but a thousandth of the
+A line is a paragraph, together with the lines that it is continued on (see ``_WRAP``). Two nested logistic
+regressions over words and word pairs (Spark's own, on the JVM) assign it a licence family or none. The first
+tells notices from all else. It is trained on variants of public licence notices against every paragraph of the
+corpus that it may be asked about and that resembles no notice; the words and pairs it weighs are those of the
+notices and the ``MOST_GRAMS`` that most of all these paragraphs have. The second, multinomial, tells the families
+apart by the words and pairs of the notices. A family's probability is the product of both. So the many words of
+the corpus have one coefficient each, not one for each family, which the driver could not hold. A family is predicted only above a probability that all but a thousandth of the
 paragraphs kept aside for calibration stay below, found for each family, and confirmed only if the paragraph
 shares enough words with a notice of that family. A predicted paragraph that resembles some notice, but not
 enough, is of the unknown class: licence text of no known family.
@@ -156,12 +158,18 @@ def counterexamples(docs: DataFrame, text: str, order: str) -> DataFrame:
 
 
 def gram_names(rows: DataFrame) -> list[str]:
+    """All of ``gram_names_by_use`` together."""
+    return sorted(sum(gram_names_by_use(rows), []))
+
+
+def gram_names_by_use(rows: DataFrame) -> tuple[list[str], list[str]]:
     """The grams of two rows or more of (family, grams): all of the notices, and the ``MOST_GRAMS`` most frequent of the others."""
     counted = rows.select("family", F.explode(F.array_distinct("grams")).alias("gram")).groupBy("gram").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("family") != NONE).alias("n_notices")
     ).where("n > 1")
     frequent = counted.where("n_notices = 0").orderBy(F.desc("n"), "gram").limit(MOST_GRAMS)
-    return sorted(r.gram for r in counted.where("n_notices > 0").union(frequent).select("gram").collect())
+    chosen = counted.where("n_notices > 0").union(frequent).select("gram", "n_notices").collect()
+    return sorted(r.gram for r in chosen if r.n_notices), sorted(r.gram for r in chosen if not r.n_notices)
 
 
 def fit(docs: DataFrame, text: str = "text", order: str = "doc_id") -> tuple[PipelineModel, list[str], dict[str, float]]:
@@ -179,10 +187,21 @@ def fit(docs: DataFrame, text: str = "text", order: str = "doc_id") -> tuple[Pip
     # as few tasks as the rows allow, as each sends all coefficients in every iteration
     rows = materialise(rows.withColumn("label", number.cast("double")).coalesce(2 + chosen.count() // TASK_PARAGRAPHS), "license-rows")
     grams = [NGram(n=2, inputCol="words", outputCol="pairs"), SQLTransformer(statement="SELECT *, concat(words, pairs) AS grams FROM __THIS__")]
-    names = gram_names(PipelineModel(grams).transform(rows))
-    stages = [*grams, CountVectorizerModel.from_vocabulary(names, "grams", "counts").setBinary(True)]
-    learner = LogisticRegression(featuresCol="counts", family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60)
-    model = PipelineModel([*stages, learner.fit(PipelineModel(stages).transform(rows))])
+    own, others = gram_names_by_use(PipelineModel(grams).transform(rows))
+    stages = [
+        *grams,
+        CountVectorizerModel.from_vocabulary(sorted(own + others), "grams", "counts").setBinary(True),
+        CountVectorizerModel.from_vocabulary(own, "grams", "notice_counts").setBinary(True),
+    ]
+    rows = PipelineModel(stages).transform(rows)
+    settings = {"regParam": 0.002, "elasticNetParam": 0.5, "maxIter": 60}
+    noticed = LogisticRegression(featuresCol="counts", labelCol="noticed", predictionCol="is_notice", rawPredictionCol="notice_raw", probabilityCol="p_notice", **settings)
+    learner = LogisticRegression(featuresCol="notice_counts", family="multinomial", **settings)
+    fitted = [
+        noticed.fit(rows.withColumn("noticed", (F.col("label") > 0).cast("double"))),
+        learner.fit(rows.where("label > 0").withColumn("label", F.col("label") - 1)),
+    ]
+    model = PipelineModel([*stages, *fitted])
     scored = classify(chosen.where(aside).select("words"), model, families)
     reached = scored.groupBy("family").agg(F.percentile_approx("probability_of", ASIDE_QUANTILE).alias("p")).collect()
     least = dict.fromkeys(families[1:], LEAST_PROBABILITY)
@@ -192,10 +211,11 @@ def fit(docs: DataFrame, text: str = "text", order: str = "doc_id") -> tuple[Pip
 
 def classify(rows: DataFrame, model: PipelineModel, families: list[str]) -> DataFrame:
     """``rows`` with ``family`` and ``probability_of``, of the likeliest licence family."""
-    scored = model.transform(rows).withColumn("_p", F.slice(vector_to_array("probability"), 2, len(families) - 1))
+    scored = model.transform(rows).withColumn("_p", vector_to_array("probability"))
     best = F.array_max("_p")
     name = F.element_at(F.array(*map(F.lit, families[1:])), F.array_position("_p", best).cast("int"))
-    return scored.select(*rows.columns, name.alias("family"), best.alias("probability_of"))
+    notice = F.element_at(vector_to_array("p_notice"), 2)
+    return scored.select(*rows.columns, name.alias("family"), (best * notice).alias("probability_of"))
 
 
 def scan(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",), order: str = "doc_id") -> DataFrame:

@@ -318,6 +318,19 @@ def test_every_paragraph_is_learned_from_or_kept_aside(spark):
     assert license_scan.gram_names(rows) == ["a", "b", "m"]
 
 
+def test_words_of_the_corpus_have_one_coefficient_each(spark):
+    """The driver holds every coefficient many times over: they must not be words of the corpus times families."""
+    texts = [f"the license of word{i % 300} and word{i % 299} here" for i in range(600)]
+    model, families, _ = license_scan.fit(documents(spark, texts))
+    weights = sum(s.coefficientMatrix.numRows * s.coefficientMatrix.numCols for s in model.stages if hasattr(s, "coefficientMatrix"))
+    rows = license_scan.training_rows(spark, license_scan.counterexamples(documents(spark, texts), "text", "doc_id"))
+    every = rows.select("words", F.expr("transform(slice(words, 2, size(words)), (w, i) -> concat_ws(' ', words[i], w))").alias("pairs"), "family")
+    own, others = license_scan.gram_names_by_use(every.select("family", F.concat("words", "pairs").alias("grams")))
+    assert len(others) > 250
+    assert weights <= len(own) * len(families) + len(own) + len(others)
+
+
+
 def test_lines_without_telling_words_resemble_no_notice(spark):
     """Every text of half a notice's words has a telling word, whichever half it is."""
     draw = random.Random(5)
