@@ -175,6 +175,24 @@ def test_repeated_spans_with_repeated_lines():
     assert any(first <= 362 and last >= 412 for first, last in in_a) and any(first <= 62 and last >= 112 for first, last in in_b)
 
 
+def test_equal_runs_without_and_with_repeats():
+    rng = np.random.default_rng(6)
+    least = substring_dedup.LEAST
+    for letters in (2**60, 3):
+        part = rng.integers(0, letters, 60).astype(np.uint64)
+        x = np.concatenate((part[:50], rng.integers(0, letters, 9).astype(np.uint64), part))
+        y = np.concatenate((rng.integers(0, letters, 7).astype(np.uint64), part[3:], part[:47]))
+        for one, two in ((x, y), (x[59:], y[:64])):  # the second pair has no shingle twice
+            order = np.argsort(one, kind="stable")
+            low, high = np.searchsorted(one[order], two), np.searchsorted(one[order], two, "right")
+            source = substring_dedup._sources(order, low, high)[0]
+            got = substring_dedup._equal_runs(one, two, source, bool((high - low > 1).any()))
+            runs = [{tuple(z[i : i + least].tolist()) for i in range(len(z) - least + 1)} for z in (one, two)]
+            for z, other, spans in ((one, runs[1], got[0]), (two, runs[0], got[1])):
+                starts = {i for i in range(len(z) - least + 1) if tuple(z[i : i + least].tolist()) in other}
+                assert {i for p, q in spans for i in range(p, q - substring_dedup.PASSAGE_WORDS + 2)} == starts and starts
+
+
 def test_similar_parts_of_a_stretch_that_is_not_similar():
     rng = np.random.default_rng(4)
     one = rng.integers(0, 2**60, 200).astype(np.uint64)
