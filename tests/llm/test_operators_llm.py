@@ -341,6 +341,17 @@ def test_near_passages(spark):
     assert sum(got[i].partner_id == i ^ 1 for i in range(400)) >= 394
 
 
+def test_every_near_passage_of_a_small_group(spark):
+    texts = []
+    for i in range(600):  # fifty words with one changed in their middle, the largest difference that is still near
+        words = prose(50, 30000 + i).split()
+        texts.append(" ".join([prose(30, 31000 + i), *words, prose(30, 32000 + i)]))
+        words[8 + i % 34] = "changed"
+        texts.append(" ".join([prose(25, 33000 + i), *words, prose(35, 34000 + i)]))
+    got = {r.id: r for r in substring_dedup.repeated_passages(documents(spark, texts)).collect()}
+    assert [i for i in range(1200) if got[i].partner_id != i ^ 1] == []
+
+
 def test_near_passages_behind_a_hub(spark):
     hub = prose(40, 640)
     texts = [f"{prose(50, 20000 + i)} {hub} {prose(50, 21000 + i)}" for i in range(300)]
