@@ -193,6 +193,25 @@ def test_equal_runs_without_and_with_repeats():
                 assert {i for p, q in spans for i in range(p, q - substring_dedup.PASSAGE_WORDS + 2)} == starts and starts
 
 
+def test_parts_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(7)
+    sizes, n = [200, 50, 120, 61], 12
+    texts = [rng.integers(0, 2**32, size).astype(np.uint64) for size in sizes]
+    text = np.repeat(np.arange(len(sizes)), n)
+    at = np.concatenate([np.sort(rng.integers(0, size - 4, n)) for size in sizes])
+    left, right, kind = np.minimum(at, 46), np.full(len(at), 46), rng.integers(0, 3, len(at))
+    bounds = np.append(0, np.cumsum(sizes))
+    together = {(new, i, h) for new, which, part in substring_dedup.parts_of(np.concatenate(texts), bounds, text, at, left, right, kind)
+                for i, h in zip(which.tolist(), part.tolist())}
+    alone = set()
+    for k, words in enumerate(texts):
+        own = np.flatnonzero(text == k)
+        given = [c[own] for c in (at, left, right, kind)]
+        for new, which, part in substring_dedup.parts_of(words, np.array([0, len(words)]), np.zeros(n, np.int64), *given):
+            alone |= {(new, int(own[i]), h) for i, h in zip(which.tolist(), part.tolist())}
+    assert together == alone and {new for new, _, _ in alone} == {substring_dedup.EXACT, substring_dedup.BANDED}
+
+
 def test_similar_parts_of_a_stretch_that_is_not_similar():
     rng = np.random.default_rng(4)
     one = rng.integers(0, 2**60, 200).astype(np.uint64)

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -372,6 +373,42 @@ def test_open_windows():
         assert substring_dedup.open_windows(200, windows, spans).tolist() == one_by_one
 
 
+def test_windows_pass_by_once_in_whole_groups(spark):
+    rows, expected, large = [], set(), set()
+    for key, nodes in ((1, [5, 6]), (2, [7]), (3, range(20)), (4, [4, 4, 9]), (5, range(100, 108)), (6, range(50, 1800))):
+        rows += [(key, node, (10 * key + i << 14) + (46 << 8) + (46 << 2)) for i, node in enumerate(nodes)]
+        others = list(enumerate(nodes))[1:] if len(nodes) > 8 else [(i, b) for i, b in enumerate(nodes)]
+        for j, a in [(0, nodes[0])] if len(nodes) > 8 else list(enumerate(nodes)):
+            expected |= {(a, b, 10 * key + j, 10 * key + i) for i, b in others if a < b}
+        if len(nodes) > 8:
+            large |= {(node, key) for node in nodes}
+    firsts = {}
+    for a, b, i, j in expected:
+        low = firsts.setdefault((a, b), [i, i, j, j])
+        firsts[a, b] = [min(low[0], i), max(low[1], i), min(low[2], j), max(low[3], j)]
+    scanned = []
+
+    def frames():
+        read = spark.sparkContext.accumulator(0)
+        scanned.append(read)
+
+        def count(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        return spark.createDataFrame(rows + rows[:30], "key long, node long, place long").mapInArrow(count, "key long, node long, place long")
+
+    for keys in ([6], [3, 6], [1, 2, 3, 4, 5, 6]):
+        hot = spark.createDataFrame([(k,) for k in keys], "key long")
+        windows = spark.createDataFrame(rows + rows[:30], "key long, node long, place long")
+        pairs, kept = substring_dedup._grouped(windows, frames(), hot, keep_exact=False)
+        assert {(r.a, r.b): [r.from_a, r.to_a, r.from_b, r.to_b] for r in pairs.collect()} == firsts
+        got = [(r.node, key) for r in kept.collect() for w in r.windows for key in np.frombuffer(w, np.int64)[::2].tolist()]
+        assert len(got) == len(set(got)) and set(got) == large
+    assert [r.value for r in scanned] == [len(rows) + 30] * 3  # the windows are shuffled once, not once for each kind of group
+
+
 def test_passages_of_nothing(empty):
     assert substring_dedup.repeated_passages(empty).count() == 0
 
