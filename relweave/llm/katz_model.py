@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from relweave.llm.exact_dedup import quoted
 from relweave.llm.words import BETWEEN_SPACE, find_words, give_back, mix
-from relweave.session import materialise
+from relweave.session import bound_batches, materialise
 
 K = 5  # the largest count that is discounted
 TOP_WORDS = 1 << 19
@@ -44,6 +44,8 @@ BUCKET_TOKENS = 1 << 20
 CHUNK_BYTES = 4 << 20
 END = np.uint64(1)  # the token at the end of every text
 _MOST_TEXTS = 50_000
+_OUT_ROWS = 1 << 13  # rows of a batch that a worker returns
+_RANGES = 4  # a bucket's pairs are counted in so many ranges of their contexts
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -245,6 +247,41 @@ def _ordered(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndar
 _COUNTED = _PAIRS + ", context long, c long, p double, rare long, " + ", ".join(f"n{r} long" for r in range(1, K + 2))
 
 
+def _sum_of(rows: pa.Table, top: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of all rows, sorted, with the sums of their counts.
+
+    The pairs of a row are sorted, so those of a range of contexts lie together: the ranges are sorted one by one,
+    and what sorting takes follows a range.
+    """
+    cuts = [np.uint64(k * (1 << 64) // _RANGES) for k in range(1, _RANGES)]
+    parts: list[list[tuple]] = [[] for _ in range(_RANGES)]
+    for row in _rows_of(rows):
+        context, word = _pairs_of(row, top)
+        n = _unpacked(row["n"])
+        at = [0, *np.searchsorted(context, cuts).tolist(), len(n)]
+        for part, a, b in zip(parts, at, at[1:]):
+            part.append((context[a:b].copy(), word[a:b].copy(), n[a:b].astype(np.int32 if b - a and n[a:b].max() < 1 << 31 else np.int64)))
+    summed = []
+    for k in range(_RANGES):
+        context, word, n = (np.concatenate(x) for x in zip(*parts[k]))
+        parts[k] = []
+        order, first = _ordered(context, word)
+        summed.append((context[order[first]], word[order[first]], np.add.reduceat(n[order].astype(np.int64), first) if len(n) else n[:0]))
+    context, word, n = (np.concatenate(x) for x in zip(*summed))
+    return context, word, n.astype(np.int64, copy=False)
+
+
+def _rows_of(table: pa.Table) -> Iterator[dict]:
+    """The rows one by one, so that only one row's arrays are taken out of the table at once."""
+    for batch in table.to_batches(max_chunksize=1):
+        yield from batch.to_pylist()
+
+
+def _in_batches(table: pa.Table) -> pa.Table:
+    """The table in batches of at most ``_OUT_ROWS`` rows, as which it goes back to the executor."""
+    return pa.Table.from_batches(table.to_batches(max_chunksize=_OUT_ROWS), table.schema)
+
+
 def _count_pairs(group: pa.Table, top: Words) -> pa.Table:
     """Of a bucket: one row with its pairs and counts, one for each context, and one for each pair with a rare word.
 
@@ -252,12 +289,7 @@ def _count_pairs(group: pa.Table, top: Words) -> pa.Table:
     probabilities of their words that are in the table of frequent ones.
     """
     bucket = group.column("bucket")[0].as_py()
-    rows = group.to_pylist()
-    context, word = (np.concatenate(parts) for parts in zip(*[_pairs_of(r, top) for r in rows]))
-    n = np.concatenate([_unpacked(r["n"]) for r in rows])
-    order, first = _ordered(context, word)
-    n = np.add.reduceat(n[order], first)
-    context, word = context[order][first], word[order][first]
+    context, word, n = _sum_of(group, top)
     begins = np.flatnonzero(np.diff(context, prepend=~context[:1]))
     sizes = np.diff(begins, append=len(n))
     known = top.counts(word)
@@ -274,7 +306,7 @@ def _count_pairs(group: pa.Table, top: Words) -> pa.Table:
     tables = [pa.Table.from_pylist([whole], schema=schema), _partial(sums, schema)]
     if len(rare):
         tables.append(_partial({"context": context[rare].view(np.int64), "rare": word[rare].view(np.int64)}, schema))
-    return pa.concat_tables(tables)
+    return _in_batches(pa.concat_tables(tables))
 
 
 def _given_back(result: pa.Table) -> pa.Table:
@@ -335,6 +367,7 @@ def _words(counted: DataFrame) -> Words:
 def train(docs: DataFrame, text: str = "text") -> KatzModel:
     """The model of all texts of ``docs``; NULL counts as empty, an empty table gives the model that knows no word."""
     spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(quoted(text).cast("string").alias("text"))
     counted = texts.mapInArrow(_count_words, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
     words = materialise(counted, "katz-words")
@@ -384,7 +417,7 @@ def _emit_scoring(batches: Iterator[pa.RecordBatch], top: Words, buckets: int, s
                 "score": np.add.reduceat(score, starts), "base": np.add.reduceat(np.where(known, top.base(c), 0.0), starts),
                 "n_tokens": np.diff(starts, append=len(tokens)), "n_known": np.add.reduceat(known.astype(np.int64), starts),
             }
-            yield from _partial(out, schema).to_batches()
+            yield from _partial(out, schema).to_batches(max_chunksize=_OUT_ROWS)
             rare = np.flatnonzero(~known)
             if len(rare):
                 (owner, word, first), n = distinct_rows([text[rare], place[rare], opening[rare]])
@@ -392,7 +425,7 @@ def _emit_scoring(batches: Iterator[pa.RecordBatch], top: Words, buckets: int, s
                 yield from _partial({
                     "bucket": (uid[owner] % buckets).astype(np.int32), "uid": uid[owner], "token": words[word].view(np.int64),
                     "n_all": n, "n_open": n * first,
-                }, schema).to_batches()
+                }, schema).to_batches(max_chunksize=_OUT_ROWS)
             at = np.flatnonzero(text[1:] == text[:-1])
             if not len(at):
                 continue
@@ -412,43 +445,61 @@ def _emit_scoring(batches: Iterator[pa.RecordBatch], top: Words, buckets: int, s
             yield pa.RecordBatch.from_pylist([{f: r.get(f) for f in schema.names} for r in rows], schema=schema)
 
 
+class _Stored:
+    """A bucket's part of the model: its pairs with their counts, and what is known of its contexts."""
+
+    def __init__(self, model: pa.Table, top: Words):
+        whole = model.filter(pa.compute.is_valid(model.column("ids")))
+        context, word, self.count = _sum_of(whole, top) if whole.num_rows else (np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64))
+        self.contexts, place = np.unique(context, return_inverse=True)
+        self.words, own = np.unique(word, return_inverse=True)
+        self.pair = place * max(1, len(self.words)) + own  # ascending, as the pairs are sorted
+        alone = model.filter(pa.compute.is_valid(model.column("context")))
+        known = np.asarray(alone.column("context").to_numpy(), np.int64).view(np.uint64)
+        order = np.argsort(known)
+        self.known = known[order]
+        self.denominator = np.asarray(alone.column("denominator").to_numpy())[order]
+        self.log_alpha = np.asarray(alone.column("log_alpha").to_numpy())[order]
+
+    def counts(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Training count of each pair, 0 for one that is not there."""
+        out = np.zeros(len(context), np.int64)
+        if not len(self.pair):
+            return out
+        place = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+        own = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+        both = np.flatnonzero((self.contexts[place] == context) & (self.words[own] == word))
+        pair = place[both] * len(self.words) + own[both]
+        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+        met = self.pair[at] == pair
+        out[both[met]] = self.count[at[met]]
+        return out
+
+
 def _score_pairs(texts: pa.Table, model: pa.Table, top: Words, discount: np.ndarray, schema: pa.Schema) -> pa.Table:
-    """The pairs of a bucket's texts against its part of the model; the rows of texts and words pass."""
-    pairs = texts.filter(pa.compute.is_valid(texts.column("ids"))).to_pylist()
+    """The pairs of a bucket's texts against its part of the model, chunk by chunk; the rows of texts and words pass."""
+    pairs = texts.filter(pa.compute.is_valid(texts.column("ids")))
     passed = texts.filter(pa.compute.is_null(texts.column("ids"))).select(schema.names).cast(schema)
-    if not pairs:
-        return passed
-    whole = model.filter(pa.compute.is_valid(model.column("ids"))).to_pylist()
-    alone = model.filter(pa.compute.is_valid(model.column("context")))
-    known = np.asarray(alone.column("context").to_numpy(), np.int64).view(np.uint64)
-    order = np.argsort(known)
-    known = known[order]
-    denominator = np.asarray(alone.column("denominator").to_numpy())[order]
-    log_alpha = np.asarray(alone.column("log_alpha").to_numpy())[order]
-    context, word = (np.concatenate(parts) for parts in zip(*[_pairs_of(r, top) for r in [*whole, *pairs]]))
-    counts = np.concatenate([_unpacked(r["n"]) for r in whole]) if whole else np.empty(0, np.int64)
-    skip = len(counts)
-    stored = np.concatenate((counts, np.zeros(len(context) - skip, np.int64)))
-    order, first = _ordered(context, word)
-    total = np.empty(len(order), np.int64)
-    total[order] = np.repeat(np.maximum.reduceat(stored[order], first), np.diff(first, append=len(order)))
-    context, word, total = context[skip:], word[skip:], total[skip:]
-    value = np.zeros(len(total))
-    seen = total > 0
-    if len(known):
-        at = np.minimum(np.searchsorted(known, context), len(known) - 1)
-        met = known[at] == context
-        value[seen] = np.log10(discount[np.minimum(total[seen], K + 1)] * total[seen] / denominator[at[seen]])
-        value[met & ~seen] = log_alpha[at[met & ~seen]]
-    count = top.counts(word)
-    frequent = ~seen & (count > 0)
-    value[frequent] += np.log10(top.probability(count[frequent]))
-    rare = ~seen & (count == 0)
-    tables, at = [passed], 0
-    for r in pairs:
-        size = _unpacked(r["per_pair"])
-        span = np.repeat(np.arange(at, at + len(size)), size)
-        at += len(size)
+    if not pairs.num_rows:
+        return _in_batches(passed)
+    stored = _Stored(model, top)
+    known = stored.known
+    tables = [passed]
+    for r in _rows_of(pairs):
+        context, word = _pairs_of(r, top)
+        total = stored.counts(context, word)
+        value = np.zeros(len(total))
+        seen = total > 0
+        if len(known):
+            at = np.minimum(np.searchsorted(known, context), len(known) - 1)
+            met = known[at] == context
+            value[seen] = np.log10(discount[np.minimum(total[seen], K + 1)] * total[seen] / stored.denominator[at[seen]])
+            value[met & ~seen] = stored.log_alpha[at[met & ~seen]]
+        count = top.counts(word)
+        frequent = ~seen & (count > 0)
+        value[frequent] += np.log10(top.probability(count[frequent]))
+        rare = ~seen & (count == 0)
+        span = np.repeat(np.arange(len(total)), _unpacked(r["per_pair"]))
         uids = np.cumsum(_unpacked(r["uids"])) + r["first"]
         owner, n = _unpacked(r["texts"]), _unpacked(r["n"])
         sums = np.bincount(owner, value[span] * n, len(uids))
@@ -457,7 +508,7 @@ def _score_pairs(texts: pa.Table, model: pa.Table, top: Words, discount: np.ndar
         left = np.flatnonzero(rare[span])
         if len(left):
             tables.append(_partial({"uid": uids[owner[left]], "token": word[span[left]].view(np.int64), "n_open": n[left]}, schema))
-    return pa.concat_tables(tables)
+    return _in_batches(pa.concat_tables(tables))
 
 
 def score(docs: DataFrame, model: KatzModel, text: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -467,6 +518,7 @@ def score(docs: DataFrame, model: KatzModel, text: str = "text", carry: Sequence
     ``(c + 0.5) / (N + 0.5 (V + 1))``. NULL and empty texts are one end. Repeated rows and ids come out each,
     an empty table gives an empty result, and input columns keep their names inside ``row``.
     """
+    bound_batches(docs.sparkSession)
     given = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.struct(*[quoted(c) for c in carry]).alias("row"), quoted(text).cast("string").alias("text")
     )
