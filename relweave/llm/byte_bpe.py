@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from relweave.llm.exact_dedup import quoted
 from relweave.llm.words import chunks
+from relweave.session import bound_batches
 
 CHUNK_BYTES = 1 << 20
 CACHE_BYTES = 16 << 20  # of a generation of the cache, with what Python needs to hold a piece
@@ -291,6 +292,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", carry: Sequence
     long text is cut at safe places, so the working arrays follow ``CHUNK_BYTES`` and not the text; a text
     without white space has no such place and is worked on whole.
     """
+    bound_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     read = read_ranks(ranks_path)
     ranks, classes = context.broadcast(read), context.broadcast(character_classes())  # fixed sizes
@@ -341,6 +343,7 @@ def token_lengths(ranks: dict[bytes, int]) -> np.ndarray:
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``bytes``, the bytes behind ``ids``; a NULL list gives NULL. Fails on an unknown id."""
+    bound_batches(encoded.sparkSession)
     ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     schema = T.StructType([*encoded.schema.fields, T.StructField("bytes", T.BinaryType())])
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relweave.llm.exact_dedup import quoted
-from relweave.llm.words import LETTERS_DIGITS, Words, chunks, find_words, mix
+from relweave.llm.words import LETTERS_DIGITS, Words, chunks, find_words, give_back, mix
+from relweave.session import bound_batches
 
 #: The training sample: so many labelled documents of each class at most, each of so many bytes at most.
 MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 3_000, 9_000, 1 << 20
@@ -103,8 +104,11 @@ class Model:
 
 def _telling(in_docs: np.ndarray, in_toxic: np.ndarray, rate: float) -> np.ndarray:
     """Features clearly more common in toxic documents than their share of the sample."""
-    z = (in_toxic - rate * in_docs) / np.sqrt(np.maximum(rate * (1 - rate) * in_docs, 1e-9))
-    return (in_docs >= LEAST_DOCUMENTS) & (z > LEAST_Z)
+    out = np.zeros(len(in_docs), bool)
+    common = np.flatnonzero(in_docs >= LEAST_DOCUMENTS)  # few of a table's buckets
+    in_docs, in_toxic = in_docs[common], in_toxic[common]
+    out[common] = (in_toxic - rate * in_docs) / np.sqrt(np.maximum(rate * (1 - rate) * in_docs, 1e-9)) > LEAST_Z
+    return out
 
 
 def _promising(texts: Sequence[bytes | None], y: np.ndarray) -> np.ndarray:
@@ -197,7 +201,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", order: str = "do
     given = given.where(F.col("text").isNotNull() & (F.octet_length("text") <= MOST_BYTES))
     # of rows that share an id one is taken, so the sample stays bounded
     table = given.join(F.broadcast(sample), "id").dropDuplicates(["id"]).orderBy("id").toArrow()
-    return train(table.column("text").to_pylist(), table.column("label").to_pylist())
+    texts, toxic = table.column("text").to_pylist(), table.column("label").to_pylist()
+    del table
+    model = train(texts, toxic)
+    del texts
+    give_back()  # the driver goes on to other work
+    return model
 
 
 def score_documents(
@@ -209,6 +218,7 @@ def score_documents(
     more, by bytes of the UTF-8 text from the first to the last word. NULL, empty and wordless texts have
     no sentence and score 0. Input columns stay inside ``row`` and cannot clash.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as many features as the sample has, at most
     given = docs.select(F.struct(*[quoted(c) for c in carry]).alias("row"), quoted(text).cast("string").alias("text"))
     spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64())]))
@@ -245,6 +255,7 @@ def score_documents(
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """``docs`` with its own columns, without the documents that score 0.5 or more."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text, order))
     place = docs.columns.index(text)
 

@@ -1,14 +1,15 @@
-"""Memory of Python workers and of the buffers rows go to them in."""
+"""Memory of Python workers, of the buffers rows go to them in, and of the driver."""
 
 import math
 import tracemalloc
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from relweave.llm import katz_model
+from relweave.llm import byte_bpe, decontamination, jaccard_join, katz_model, toxicity
 from relweave.session import BATCH_BYTES
 from test_operators_llm import documents
 
@@ -64,9 +65,10 @@ def test_working_memory_of_a_bucket():
     assert training < 88 * pairs and scoring < 75 * pairs, (training / pairs, scoring / pairs)
 
 
-@pytest.mark.parametrize("operator", ["katz"])
+@pytest.mark.parametrize("operator", ["katz", "near", "decontamination", "bpe", "toxicity"])
 def test_rows_go_to_workers_in_small_batches(spark, operator):
     docs = documents(spark, ["one two three four five six", "two three"])
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS toxic")
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
 
     def largest():
@@ -75,7 +77,15 @@ def test_rows_go_to_workers_in_small_batches(spark, operator):
         return max(r.n for r in sizes.collect())
 
     def run():
-        return {"katz": katz_model.train}[operator](docs)
+        if operator == "katz":
+            return katz_model.train(docs)
+        if operator == "near":
+            return jaccard_join.jaccard_components(docs)
+        if operator == "decontamination":
+            return decontamination.find_contamination(docs, docs.selectExpr("doc_id AS item_id", "text"))
+        if operator == "bpe":
+            return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        return toxicity.drop_toxic(docs, labels)
 
     spark.conf.unset(name)
     try:
@@ -87,3 +97,21 @@ def test_rows_go_to_workers_in_small_batches(spark, operator):
         assert spark.conf.get(name) == "1m"
     finally:
         spark.conf.unset(name)
+
+
+def test_screening_takes_no_copies_of_its_table():
+    texts, y = [f"clean words here {i}".encode() for i in range(400)], np.arange(400) % 4 == 0
+    texts = [t + b" awful" if bad else t for t, bad in zip(texts, y)]
+    found, peak = peak_of(lambda: toxicity._promising(texts, y.astype(float)))
+    assert found.sum() == 2  # the word and its first four bytes
+    assert peak < 120_000_000, peak
+
+
+def test_components_need_no_python_workers(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("rows of Python")
+
+    links = spark.range(6).selectExpr("id AS a", "id + 1 AS b").where("a <> 3")
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert sorted(map(tuple, jaccard_join.components(links).collect())) == [*[(i, 0) for i in range(4)], *[(i, 4) for i in range(4, 7)]]
+    assert jaccard_join.components(links.limit(0)).count() == 0
