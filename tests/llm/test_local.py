@@ -212,6 +212,17 @@ def test_parts_of_many_texts_are_those_of_each():
     assert together == alone and {new for new, _, _ in alone} == {substring_dedup.EXACT, substring_dedup.BANDED}
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_pairs_of_few_windows_in_small_groups(large):
+    place = (60 << 14) + (46 << 8) + (46 << 2)
+    for n in range(2, substring_dedup.SMALL + 1):  # one small group alone, or beside a large one
+        rows = [(1, node, place) for node in range(n)] + [(2, node, place) for node in range(20)] * large
+        pairs, both, in_large = substring_dedup.pairs_of_groups(*np.array(rows, np.int64).T)
+        expected = {(a, b) for b in range(n) for a in range(b)} | {(0, b) for b in range(1, 20 * large)}
+        assert {(a, b) for a, b in pairs[:2].T.tolist()} == expected
+        assert both.all() and in_large.tolist() == [False] * n + [True] * 20 * large
+
+
 def test_similar_parts_of_a_stretch_that_is_not_similar():
     rng = np.random.default_rng(4)
     one = rng.integers(0, 2**60, 200).astype(np.uint64)
