@@ -223,6 +223,30 @@ def test_pairs_of_few_windows_in_small_groups(large):
         assert both.all() and in_large.tolist() == [False] * n + [True] * 20 * large
 
 
+def test_rarest_shingles_meet_every_near_passage():
+    rng = np.random.default_rng(11)
+    least, other = substring_dedup.LEAST, substring_dedup.OTHER
+    for letters in (10**6, 30):  # with and without shingles that occur several times
+        token = rng.integers(0, letters, 300)
+        n = np.where(rng.random(letters) < 0.05, 1, rng.integers(2, 60, letters))[token]
+        starts, inside = rng.random(300) < 0.7, np.zeros(300, bool)
+        starts[300 - least + 1 :] = False
+        inside[100:160] = True
+        chosen = substring_dedup.rarest(n, token, starts, inside)
+        assert chosen.any() and (n[chosen] > 1).all()
+        for s in np.flatnonzero(starts):
+            part = slice(s, s + least)
+            some, have = np.unique(token[part], return_counts=True)
+            alone = {t for t in some.tolist() if n[part][token[part] == t][0] == 1}
+            own = {int(t) for t in token[part][chosen[part]]}
+            ends = np.flatnonzero(~inside[part])
+            if len(ends) <= other:
+                continue  # the ends may be looked for instead
+            # what a text without those chosen lacks is more than a near one may
+            lacks = have[[t in own or t in alone for t in some.tolist()]]
+            assert lacks.sum() > other or len(lacks) > len(some) // 5
+
+
 def test_similar_parts_of_a_stretch_that_is_not_similar():
     rng = np.random.default_rng(4)
     one = rng.integers(0, 2**60, 200).astype(np.uint64)

@@ -366,6 +366,33 @@ def test_near_passages_behind_a_hub(spark):
     assert not any(got[i].spans for i in range(300))
 
 
+def test_every_near_passage_of_large_groups(spark):
+    hub = prose(40, 641)
+    texts = [f"{prose(50, 40000 + i)} {hub} {prose(50, 41000 + i)}" for i in range(300)]
+    for i in range(120):  # each two share the hub and ten to thirteen words, one of the fifty to 53 changed
+        words = f"{hub} {prose(10 + i % 4, 42000 + i)}".split()
+        texts.append(" ".join([prose(30, 43000 + i), *words, prose(30, 44000 + i)]))
+        words[5 + 7 * i % (len(words) - 10)] = "changed"
+        texts.append(" ".join([prose(25, 45000 + i), *words, prose(35, 46000 + i)]))
+    got = {r.id: r for r in substring_dedup.repeated_passages(documents(spark, texts)).collect()}
+    assert [i for i in range(300, 540) if got[i].partner_id != i ^ 1] == []
+    assert not any(got[i].spans for i in range(300))
+
+
+def test_a_near_passage_of_one_that_is_settled(spark):
+    hub, near = prose(30, 642), prose(20, 643)
+    texts = [f"{prose(50, 50000 + i)} {hub} {prose(50, 51000 + i)}" for i in range(60)]
+    words = f"{hub} {near}".split()
+    for i in range(36):  # all near to the first of these, but two of them differ by two words
+        changed = list(words)
+        changed[8 + i] = f"other{i}"
+        texts.append(" ".join([prose(30, 52000 + i), *(changed if i else words), prose(30, 53000 + i)]))
+    got = {r.id: r for r in substring_dedup.repeated_passages(documents(spark, texts)).collect()}
+    for i in range(60, 96):
+        assert any(s["first"] <= 30 and s["last"] >= 79 for s in got[i].spans), i
+    assert not any(got[i].spans for i in range(60))
+
+
 def test_open_windows():
     windows = [(60, 10, 45), (10, 10, 80), (140, 45, 5)]
     for spans in ([], [(0, 99)], [(0, 60)], [(90, 199)], [(0, 199)]):
